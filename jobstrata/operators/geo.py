@@ -39,8 +39,8 @@ def nearest_place(points: DataFrame, gazetteer: DataFrame, *, lat: str = "lat",
         last = i == len(CELL_EDGES) - 1
         listed = places
         for axis in "xyz":
-            step = F.floor(F.col(f"g{axis}") / edge)
-            listed = listed.withColumn(f"c{axis}", F.explode(F.transform(around, lambda d, s=step: s + d)))
+            listed = (listed.withColumn("_off", F.explode(around))
+                      .withColumn(f"c{axis}", F.floor(F.col(f"g{axis}") / edge) + F.col("_off")).drop("_off"))
         cells = open_spots.select("*", *[F.floor(F.col(a) / edge).alias(f"c{a}") for a in "xyz"])
         gap = sum((F.pow(F.col(a) - F.col(f"g{a}"), 2.0) for a in "xyz"), F.lit(0.0))
         near = (cells.join(listed, ["cx", "cy", "cz"])
