@@ -33,6 +33,7 @@ ZONED = [
     (r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}(Z|[+-]\d{2}:\d{2})$", "yyyy-MM-dd HH:mm:ssXXX"),
     (r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}[+-]\d{4}$", "yyyy-MM-dd HH:mm:ssXX"),
     (r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}\.\d{3}(Z|[+-]\d{2}:\d{2})$", "yyyy-MM-dd HH:mm:ss.SSSXXX"),
+    (r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}\.\d{3}[+-]\d{4}$", "yyyy-MM-dd HH:mm:ss.SSSXX"),
     (r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}\.\d{6}(Z|[+-]\d{2}:\d{2})$", "yyyy-MM-dd HH:mm:ss.SSSSSSXXX"),
 ]
 # English and Vietnamese unit words

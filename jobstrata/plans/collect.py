@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -26,11 +27,23 @@ def platform_rank(platform: Column, order: Sequence[str] = config.PLATFORM_ORDER
                       F.lit(len(order) + 1)).cast("int")
 
 
-def candidates(raw: DataFrame) -> DataFrame:
+@dataclass(frozen=True)
+class Dictionaries:
+    """Word lists of a run."""
+
+    must_have: Sequence[str] = tuple(config.MUST_HAVE_WORDS)
+    positive: Sequence[str] = tuple(config.POSITIVE_WORDS)
+    negative: Sequence[str] = tuple(config.NEGATIVE_WORDS)
+    title_rules: Mapping[str, str] = field(default_factory=lambda: dict(config.TITLE_RULES))
+    terms: Sequence[str] = tuple(config.SKILLS)
+
+
+def candidates(raw: DataFrame, words: Dictionaries = Dictionaries()) -> DataFrame:
     """Relevant postings, first seen per site, with the rule label (NULL when no rule fits)."""
-    kept = dedupe.first_seen(relevance.keep_relevant(raw), ["platform", "job_id"], ["page_no", "pos"],
-                             id_column="job_id")
-    return kept.withColumn("label", text.rule_label(F.col("job_title")))
+    relevant = relevance.keep_relevant(raw, must_have=words.must_have, positive=words.positive,
+                                       negative=words.negative)
+    kept = dedupe.first_seen(relevant, ["platform", "job_id"], ["page_no", "pos"], id_column="job_id")
+    return kept.withColumn("label", text.rule_label(F.col("job_title"), words.title_rules))
 
 
 def with_descriptions(postings: DataFrame, details: DataFrame, terms: Sequence[str] = config.SKILLS) -> DataFrame:
@@ -41,15 +54,16 @@ def with_descriptions(postings: DataFrame, details: DataFrame, terms: Sequence[s
 
 
 def collect(raw: DataFrame, loaded: DataFrame, *, details: DataFrame | None = None,
+            words: Dictionaries = Dictionaries(),
             labellers: Sequence[labelling.Labeller] = (labelling.rule_labeller,)) -> Collected:
     """Run the stage. ``raw`` has the raw posting layout, ``loaded`` the known ``job_id`` s.
 
     Cheap steps come first (keywords, first-seen, rule label, known ids), so that only the rest
     goes to the labeller.
     """
-    found = candidates(raw)
+    found = candidates(raw, words)
     if details is not None:
-        found = with_descriptions(found, details)
+        found = with_descriptions(found, details, words.terms)
     found = materialise(found, "postings")
     skills = unify.explode_skills(found)
 

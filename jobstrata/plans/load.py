@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from jobstrata import config
 from jobstrata.functions import dates, links, text
 from jobstrata.operators import dedupe, lookups, neardup, unify, upserts
+from jobstrata.schemas import DIMENSIONS
 from jobstrata.session import materialise
 from jobstrata.sources.tables import TableStore
 
@@ -23,7 +25,7 @@ class Prepared(NamedTuple):
 
 
 def prepare(master: DataFrame, skills: DataFrame, *, run_ts: str,
-            threshold: float = config.NEAR_DUP_THRESHOLD) -> Prepared:
+            threshold: float = config.NEAR_DUP_THRESHOLD, places: Sequence[str] = config.PROVINCES) -> Prepared:
     """Near-duplicates out, dates and places normalised, skills of the survivors kept.
 
     ``master`` has a unique ``seq`` giving the order. Texts that stand for a missing value become
@@ -38,7 +40,7 @@ def prepare(master: DataFrame, skills: DataFrame, *, run_ts: str,
     postings = (unique
                 .withColumn("date_view", dates.local_date(dates.posting_timestamp_or_default(
                     F.col("date_view"), F.col("job_link"), now)))
-                .withColumn("location_name", text.normalise_location(F.col("location_name")))
+                .withColumn("location_name", text.normalise_location(F.col("location_name"), places))
                 .withColumn("last_seen", F.lit(run_ts).cast("timestamp").cast("date"))
                 .withColumn("is_expired", F.lit(False))
                 .withColumn("job_link", links.rewrite_locale(F.col("job_link")))
@@ -48,10 +50,16 @@ def prepare(master: DataFrame, skills: DataFrame, *, run_ts: str,
     return Prepared(postings, dedupe.only_in(trimmed, postings, "job_id"))
 
 
+def seed_labels(store: TableStore, default_label: int = config.DEFAULT_LABEL_KEY) -> None:
+    """Put the label for "no data job" at its fixed id, so that later ids start above it."""
+    labels = store.read("label_dim")
+    if labels.filter(F.col("label_id") == default_label).isEmpty():
+        store.append("label_dim", labels.sparkSession.createDataFrame(
+            [(default_label, config.NO_LABEL)], DIMENSIONS["label_dim"][2]))
+
+
 def load_dimensions(store: TableStore, postings: DataFrame, skills: DataFrame) -> None:
     """Insert unseen dimension values."""
-    from jobstrata.schemas import DIMENSIONS
-
     sources = {name: unify.distinct_values(postings, columns, DIMENSIONS[name][1])
                for name, columns in DIM_SOURCES.items()}
     sources["skill_dim"] = unify.distinct_values(skills, ["skill_raw"])
@@ -66,6 +74,7 @@ def load(store: TableStore, prepared: Prepared, *, run_ts: str, max_age_days: in
          default_label: int = config.DEFAULT_LABEL_KEY, expire: bool = True) -> None:
     """Dimensions first, then facts and the skill bridge. Repeating a run changes nothing."""
     run_date = F.lit(run_ts).cast("timestamp").cast("date")
+    seed_labels(store, default_label)
     load_dimensions(store, prepared.postings, prepared.skills)
     dims = {name: store.read(name) for name in ("location_dim", "date_dim", "label_dim", "emp_dim", "skill_dim")}
     facts = store.read("fact_job_postings")
