@@ -22,7 +22,7 @@ def first_seen(df: DataFrame, keys: list[str], order: list, *, id_column: str |
     if id_column:
         df = df.filter(has_id(id_column))
     rank = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
+    return df.withColumn("_first_rank", rank).filter(F.col("_first_rank") == 1).drop("_first_rank")
 
 
 def not_in(df: DataFrame, known: DataFrame, on: str | list[str]) -> DataFrame:

@@ -54,8 +54,8 @@ def _fits_step(e: Element, step) -> bool:
         if cls and cls not in (e.attrs.get("class") or "").split():
             return False
         if attr:
-            have = e.attrs.get(attr)
-            if have is None or (op == "=" and have != value) or (op == "*=" and value not in have):
+            have = e.attrs.get(attr) or ""
+            if attr not in e.attrs or (op == "=" and have != value) or (op == "*=" and value not in have):
                 return False
     return True
 
