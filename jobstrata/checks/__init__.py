@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from jobstrata.checks import intake, postings, reports, star, texts
+from jobstrata.checks import intake, postings, reports, stages, star, texts
 from jobstrata.checks.base import REGISTRY
 
-__all__ = ["REGISTRY", "intake", "postings", "reports", "star", "texts"]
+__all__ = ["REGISTRY", "intake", "postings", "reports", "stages", "star", "texts"]

@@ -153,9 +153,10 @@ def character_grams(t: Tables):
       FROM v WHERE r IN (SELECT r FROM f) GROUP BY r"""))
 def text_weights(t: Tables):
     reps = neardup.earliest_copies(_titled(t), "p_partkey", "compare")
-    terms = neardup.weighted_terms(reps, t.part.count())
-    return terms.groupBy(F.col("row").alias("p_partkey")).agg(
-        F.count(F.lit(1)).alias("n_grams"), F.round(F.max("w"), 6).alias("heaviest"), F.round(F.sum("w"), 6).alias("total"))
+    total = F.aggregate("v", F.lit(0.0), lambda s, x: s + x["w"])
+    return neardup.weighted_terms(reps, t.part.count()).select(
+        F.col("row").alias("p_partkey"), F.size("v").cast("bigint").alias("n_grams"),
+        F.round(F.array_max("v.w"), 6).alias("heaviest"), F.round(total, 6).alias("total"))
 
 
 @query(_similar_sql("part", "p_partkey", _TITLE, """
