@@ -22,9 +22,11 @@ _FOUND = f"""SELECT label_name, skill_raw, doc_id FROM (
 def _job_skills(t: Tables):
     kept = relevance.keep_relevant(t.documents, "text", must_have=["the", "les", "und", "el"],
                                    positive=["that", "que", "nicht", "la", "und"], negative=["buy now", "www"])
-    first = dedupe.first_seen(kept.withColumn("job_id", F.md5("text")), ["source", "job_id"], ["doc_id"], id_column="job_id")
-    roles = first.select("doc_id", text.rule_label(F.col("text"), TEXT_RULES).alias("label_name"),
-                         text.extract_terms(F.col("text"), TERMS).alias("skills"))
+    # role and skills come before the shuffle of the first-seen step, so the texts stay where they are read
+    found = kept.select("doc_id", "source", F.md5("text").alias("job_id"),
+                        text.rule_label(F.col("text"), TEXT_RULES).alias("label_name"),
+                        text.extract_terms(F.col("text"), TERMS).alias("skills"))
+    roles = dedupe.first_seen(found, ["source", "job_id"], ["doc_id"], id_column="job_id")
     return unify.explode_skills(roles.dropna(subset=["label_name"]), keep=["doc_id", "label_name"])
 
 

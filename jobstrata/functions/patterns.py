@@ -7,11 +7,13 @@ definition on combining marks and superscripts, so the word class is spelled out
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterable
 
 WORD = r"[\p{L}\p{N}_]"
-EDGE = rf"(?:(?<={WORD})(?!{WORD})|(?<!{WORD})(?={WORD}))"
+# what counts as white space, as a class and as a list of characters
 SPACE = r"[\s\p{Z}\x1c-\x1f\x85]"
+SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 
 def alternation(words: Iterable[str]) -> str:
@@ -27,17 +29,39 @@ def longest_first(words: Iterable[str]) -> list[str]:
     return sorted(words, key=len, reverse=True)
 
 
+def _first_letters(words: Iterable[str]) -> str:
+    """Look-ahead that rules out most positions by one character before the words are tried."""
+    letters = sorted({f for w in words for f in (w[0], w[0].lower(), w[0].upper()) if len(f) == 1})
+    return f"(?=[{''.join(re.escape(f) for f in letters)}])"
+
+
+def _is_word(char: str) -> bool:
+    return char == "_" or unicodedata.category(char)[0] in "LN"
+
+
 def whole_word(words: Iterable[str]) -> str:
-    """Any of the words, in any case, with a word edge on both sides (group 1)."""
-    return f"(?iu){EDGE}({alternation(words)}){EDGE}"
+    """Any of the words, in any case, with a word edge on both sides (group 1).
+
+    Next to a letter an edge means "no word character on the other side", next to a symbol it
+    means "a word character on the other side".
+    """
+    words = list(words)
+    before = {True: f"(?<!{WORD})", False: f"(?<={WORD})"}
+    after = {True: f"(?!{WORD})", False: f"(?={WORD})"}
+    if words and all(_is_word(w[0]) and _is_word(w[-1]) for w in words):
+        return standalone_word(words)
+    parts = [before[_is_word(w[0])] + re.escape(w) + after[_is_word(w[-1])] for w in words]
+    return f"(?iu){_first_letters(words)}({'|'.join(parts)})"
 
 
 def standalone_word(words: Iterable[str]) -> str:
     """Like :func:`whole_word`, but words ending in a symbol (``C++``) also match before a space."""
-    return f"(?iu)(?<!{WORD})({alternation(words)})(?!{WORD})"
+    words = list(words)
+    return f"(?iu){_first_letters(words)}(?<!{WORD})({alternation(words)})(?!{WORD})"
 
 
 def optional_space(words: Iterable[str]) -> str:
     """Any of the words anywhere, in any case, with each space optional."""
+    words = list(words)
     parts = ["".join(f"{SPACE}?" if c == " " else re.escape(c) for c in w) for w in words]
-    return f"(?iu){'|'.join(parts)}"
+    return f"(?iu){_first_letters(words)}(?:{'|'.join(parts)})"

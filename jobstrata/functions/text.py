@@ -14,7 +14,7 @@ from jobstrata.functions import patterns
 
 def strip(text: Column) -> Column:
     """Remove white space of any kind at both ends (``trim`` removes plain spaces only)."""
-    return F.regexp_replace(text, rf"^{patterns.SPACE}+|{patterns.SPACE}+$", "")
+    return F.btrim(text, F.lit(patterns.SPACES))
 
 
 def squash(text: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 def has_id(column: str | Column) -> Column:
     """False for identifiers that stand for "no identifier": NULL, empty and zero."""
     value = F.col(column) if isinstance(column, str) else column
-    return F.coalesce(~value.cast("string").isin("", "0"), F.lit(False))
+    return value.isNotNull() & ~value.cast("string").isin("", "0")
 
 
 def first_seen(df: DataFrame, keys: list[str], order: list, *, id_column: str | None = None) -> DataFrame:

@@ -57,8 +57,12 @@ def distinct_values(df: DataFrame, columns: Sequence[str], name: str | None = No
 
 def explode_skills(df: DataFrame, skills: str = "skills", name: str = "skill_raw",
                    keep: Sequence[str] = ("job_id",)) -> DataFrame:
-    """One row per posting and skill; postings without skills and null skills give none."""
-    return df.select(*keep, F.explode(skills).alias(name)).filter(F.col(name).isNotNull())
+    """One row per posting and skill; postings without skills and null skills give none.
+
+    The outer form with a filter behind it keeps Spark from evaluating the skill expression a
+    second time just to test it for emptiness.
+    """
+    return df.select(*keep, F.explode_outer(skills).alias(name)).filter(F.col(name).isNotNull())
 
 
 def assert_unique(df: DataFrame, keys: Sequence[str], what: str) -> DataFrame:

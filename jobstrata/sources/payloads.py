@@ -101,11 +101,15 @@ def first_city(places: Column) -> Column:
     return F.get(places, F.lit(0)).city
 
 
-def read_platform(spark: SparkSession, path: str | Sequence[str], platform: str, run_ts: Column) -> DataFrame:
+def flatten(df: DataFrame, platform: str, run_ts: Column) -> DataFrame:
     """Postings of one API site in the raw layout."""
-    df = read_responses(spark, path, platform)
     if platform == "itviec":
         return flatten_itviec(df, run_ts)
-    flatten = {"careerviet": flatten_careerviet, "vietnamworks": flatten_vietnamworks,
+    by_site = {"careerviet": flatten_careerviet, "vietnamworks": flatten_vietnamworks,
                "monster": flatten_monster, "topdev": flatten_topdev}
-    return flatten[platform](df)
+    return by_site[platform](df)
+
+
+def read_platform(spark: SparkSession, path: str | Sequence[str], platform: str, run_ts: Column) -> DataFrame:
+    """Landed files of one API site in the raw layout."""
+    return flatten(read_responses(spark, path, platform), platform, run_ts)

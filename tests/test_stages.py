@@ -201,3 +201,23 @@ def test_requests(spark):
     assert got.count() == 2 * (3 * 1 + 10 + 3 * 20)
     one = got.filter("platform = 'topdev' and page_num = 3 and keyword = 'sql'").first()
     assert one.params["keyword"] == "sql" and one.params["page"] == "3" and one.url.endswith("/search/v2")
+
+
+def test_new_files_are_loaded_once(spark, tmp_path):
+    from jobstrata.streaming.incremental import load_new_payloads
+
+    landed, store = tmp_path / "cv", TableStore(spark, str(tmp_path / "star"))
+    landed.mkdir()
+
+    def land(name, job_id, title):
+        job = {"job_id": job_id, "job_title": title, "date_view": "2026-02-03", "emp_name": job_id,
+               "location_name": "Hà Nội", "job_link": f"https://careerviet.vn/en/{job_id}"}
+        (landed / name).write_text(json.dumps({"page_no": 1, "data": [job]}, ensure_ascii=False), encoding="utf-8")
+
+    land("1.json", "first", "Data Engineer")
+    for _ in range(2):
+        load_new_payloads(spark, {"careerviet": str(landed)}, store, str(tmp_path / "progress"), run_ts=RUN)
+        assert {r.job_id for r in store.read("fact_job_postings").collect()} == {"first"}
+    land("2.json", "second", "Senior SQL Developer")
+    load_new_payloads(spark, {"careerviet": str(landed)}, store, str(tmp_path / "progress"), run_ts=RUN)
+    assert {r.job_id for r in store.read("fact_job_postings").collect()} == {"first", "second"}
