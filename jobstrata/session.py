@@ -12,6 +12,9 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # whole pages and long vectors pass through Python; bound what one Arrow batch may hold
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "4000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
 }
 
 

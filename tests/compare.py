@@ -40,9 +40,11 @@ def normal(columns, rows):
     return [columns[i] for i in order], sorted((tuple(_plain(r[i]) for i in order) for r in rows), key=repr)
 
 
-def run_pair(spark, con, fn, sql, folder):
+def run_pair(spark, con, fn, sql, folder, inspect=None):
     start = time.time()
     df = fn(spark, folder)
+    if inspect:
+        inspect(df)
     got = normal(df.columns, df.collect())
     spark_s, start = time.time() - start, time.time()
     cur = con.execute(sql)
