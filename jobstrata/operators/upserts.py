@@ -24,7 +24,6 @@ def _check(batch: DataFrame, columns: Sequence[str]) -> None:
 
 def new_members(dim: DataFrame, batch: DataFrame, *, key: str, surrogate: str) -> DataFrame:
     """Dimension rows to insert: unseen keys with the next free surrogate ids."""
-    _check(batch, [key])
     unseen = batch.select(key).dropna().distinct().join(dim.select(key), key, "left_anti")
     top = dim.agg(F.max(surrogate)).first()[0]
     numbered = number_rows(unseen, [key], surrogate, start=(top or 0) + 1)

@@ -65,9 +65,9 @@ def load_dimensions(store: TableStore, postings: DataFrame, skills: DataFrame) -
     sources["skill_dim"] = unify.distinct_values(skills, ["skill_raw"])
     for name, values in sources.items():
         surrogate, key, _ = DIMENSIONS[name]
-        if values.isEmpty():
-            continue
-        store.append(name, upserts.new_members(store.read(name), values, key=key, surrogate=surrogate))
+        added = upserts.new_members(store.read(name), values, key=key, surrogate=surrogate)
+        if not added.isEmpty():
+            store.append(name, added)
 
 
 def load(store: TableStore, prepared: Prepared, *, run_ts: str, max_age_days: int = config.MAX_AGE_DAYS,
@@ -86,7 +86,8 @@ def load(store: TableStore, prepared: Prepared, *, run_ts: str, max_age_days: in
     bridge = materialise(upserts.new_bridge_rows(store.read("fact_skill"), bridge_batch), "bridge")
 
     # the bridge goes first: if the run dies in between, the repeat still finds the jobs unloaded
-    store.append("fact_skill", bridge)
+    if not bridge.isEmpty():
+        store.append("fact_skill", bridge)
     merged = upserts.merge_facts(facts, batch)
     if expire:
         merged = upserts.mark_expired(merged, dims["date_dim"], run_ts[:10])

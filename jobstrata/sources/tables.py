@@ -68,6 +68,10 @@ class TableStore:
         df.select(*self.tables[name].names).write.mode("overwrite").parquet(
             f"{self.root}/{name}/g={g}/s={used[-1] + 1}")
 
+    def compact(self, name: str) -> None:
+        """Rewrite a table of many small segments as one."""
+        self.replace(name, self.read(name))
+
     def known_ids(self, name: str = "fact_job_postings", column: str = "job_id") -> DataFrame:
         """Distinct identifiers already loaded; empty when the table does not exist."""
         return self.read(name).select(column).distinct()

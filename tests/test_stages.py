@@ -191,6 +191,8 @@ def test_store_ignores_unfinished_writes(spark, tmp_path):
     (tmp_path / "fact_skill" / "g=1" / "s=0").mkdir(parents=True)
     store.append("fact_skill", spark.createDataFrame([(2, "b")], schemas.FACT_SKILL))
     assert sorted(r.skill_id for r in store.read("fact_skill").collect()) == [1, 2]
+    store.compact("fact_skill")
+    assert sorted(r.skill_id for r in store.read("fact_skill").collect()) == [1, 2]
     store.replace("fact_skill", rows)
     assert [r.skill_id for r in store.read("fact_skill").collect()] == [1]
 
