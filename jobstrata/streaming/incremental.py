@@ -1,6 +1,6 @@
 """Scheduled runs: process what has landed since the last one, then stop.
 
-The reference behaviour is a finite batch repeated by a scheduler. Structured Streaming with the
+A run is a finite batch repeated by a scheduler. Structured Streaming with the
 available-now trigger keeps the list of files already taken; every micro-batch goes through the
 same collect and load functions. Loading is keyed, so a batch repeated after a failure changes
 nothing.
