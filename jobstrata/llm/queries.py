@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobstrata.llm import quality_rules
+from jobstrata.llm import quality_ftrl, quality_rules
 from jobstrata.session import materialise, prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,3 +30,13 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules.judge(counted, quality_rules.learn(counted, labels))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                          "base_failed", "kept", "rule")
+
+
+@query
+def op2_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = (_table(spark, folder, t) for t in ("documents", "labels"))
+    weights = quality_ftrl.fit(quality_ftrl.training_rows(docs, labels, max_rows=20_000))
+    scored = quality_ftrl.score(docs.select("doc_id", "text"), weights)
+    held = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1
+    return scored.select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
