@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobstrata.llm import quality_ftrl, quality_rules
+from jobstrata.llm import quality_ftrl, quality_rules, simhash_bk
 from jobstrata.session import materialise, prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,3 +40,9 @@ def op2_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     held = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1
     return scored.select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op3_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash_bk.near_duplicates(_table(spark, folder, "documents"))
+    return found.select("doc_id", simhash_bk.hexadecimal("fp").alias("fingerprint"), "component_id")
