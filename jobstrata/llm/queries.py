@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobstrata.llm import quality_ftrl, quality_rules, simhash_bk
+from jobstrata.llm import quality_ftrl, quality_rules, simhash_bk, token_planes
 from jobstrata.session import materialise, prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,3 +47,9 @@ def op2_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 def op3_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash_bk.near_duplicates(_table(spark, folder, "documents"))
     return found.select("doc_id", simhash_bk.hexadecimal("fp").alias("fingerprint"), "component_id")
+
+
+@query
+def op5_token_id_output(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return token_planes.read(token_planes.write(docs, public_tokenizers.path("word_bpe_49k.json")))
