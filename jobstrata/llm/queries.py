@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobstrata.llm import quality_ftrl, quality_rules, simhash_bk, token_planes
+from jobstrata.llm import bpe_duckdb, quality_ftrl, quality_rules, simhash_bk, token_planes
 from jobstrata.session import materialise, prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +53,9 @@ def op3_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op5_token_id_output(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     return token_planes.read(token_planes.write(docs, public_tokenizers.path("word_bpe_49k.json")))
+
+
+@query
+def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return bpe_duckdb.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
