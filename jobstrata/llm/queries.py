@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobstrata.llm import bpe_duckdb, quality_ftrl, quality_rules, simhash_bk, token_planes
+from jobstrata.llm import bpe_duckdb, decontaminate, quality_ftrl, quality_rules, simhash_bk, token_planes
 from jobstrata.session import materialise, prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +59,9 @@ def op5_token_id_output(spark: SparkSession, folder: str) -> DataFrame:
 def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     return bpe_duckdb.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query
+def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs, benchmark = (_table(spark, folder, t) for t in ("documents", "benchmark"))
+    return decontaminate.flag(docs.select("doc_id", "text"), benchmark).drop("text")
