@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobstrata.llm import bpe_duckdb, decontaminate, quality_ftrl, quality_rules, simhash_bk, token_planes
+from jobstrata.llm import bpe_duckdb, decontaminate, quality_ftrl, quality_rules, simhash_bk, token_planes, url_lists, warc_index
 from jobstrata.session import materialise, prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,84 @@ def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs, benchmark = (_table(spark, folder, t) for t in ("documents", "benchmark"))
     return decontaminate.flag(docs.select("doc_id", "text"), benchmark).drop("text")
+
+
+def _captures(pages: DataFrame) -> DataFrame:
+    """Pages carry no fetch day; the query gives each one a day of 2024 by its id."""
+    return pages.select("page_id", "url", F.date_add(F.lit("2024-01-01").cast("date"), F.pmod("page_id", F.lit(366)).cast(
+        "int")).alias("fetched_on"))
+
+
+def _list_changes(captures: DataFrame) -> DataFrame:
+    """A dated list made from the hosts of the pages: some hosts are listed, taken off and listed again, and of the parent
+    domains some first path segments."""
+    hosts = captures.select(url_lists.host(F.col("url")).alias("h"), "page_id").where("h is not null").groupBy("h").agg(
+        F.min("page_id").alias("m")).where("length(h) % 3 = 0")
+    on = F.expr("date_add(date '2024-01-01', cast(pmod(m, 200) as int))")
+    listed = hosts.select(F.col("h").alias("pattern"), F.explode(F.array(
+        F.struct(on.alias("d"), F.lit(True).alias("listed")),
+        F.struct(F.date_add(on, F.expr("cast(40 + pmod(m, 50) as int)")).alias("d"), F.lit(False).alias("listed")),
+        F.struct(F.date_add(on, F.expr("cast(110 + pmod(m, 30) as int)")).alias("d"), F.lit(True).alias("listed")))).alias("x"))
+    hosts_part = listed.select("pattern", F.col("x.d").alias("changed_on"), F.col("x.listed").alias("listed"),
+                               F.lit("host").alias("category"))
+    domain = F.regexp_extract(url_lists.host(F.col("url")), r"([^.]+\.[^.]+)$", 1)
+    segment = F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^/?#]+)", 1)
+    parts = captures.select(F.concat(domain, F.lit("/"), segment).alias("pattern"), F.length(domain).alias("n"),
+                            F.length(segment).alias("k"), "page_id").where("n > 0 and k > 0").groupBy("pattern").agg(
+        F.min("page_id").alias("m")).where("length(pattern) % 4 = 0")
+    return hosts_part.unionByName(parts.select(
+        "pattern", F.expr("date_add(date '2024-03-01', cast(pmod(m, 100) as int))").alias("changed_on"),
+        F.lit(True).alias("listed"), F.lit("path").alias("category")))
+
+
+@query
+def op6_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    captures = _captures(_table(spark, folder, "pages"))
+    changes = materialise(_list_changes(captures), "list_changes")
+    return url_lists.judge(captures, changes)
+
+
+ORACLE["op6_url_filters"] = r"""
+WITH captures AS (
+  SELECT page_id, url, CAST(DATE '2024-01-01' + CAST(page_id % 366 AS INTEGER) AS DATE) AS fetched_on,
+         nullif(rtrim(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)), '.'), '') AS h,
+         regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^/?#]+)', 1) AS segment
+  FROM pages),
+hosts AS (SELECT h, min(page_id) AS m FROM captures WHERE h IS NOT NULL GROUP BY h HAVING length(h) % 3 = 0),
+parts AS (
+  SELECT regexp_extract(h, '([^.]+\.[^.]+)$', 1) || '/' || segment AS pattern, min(page_id) AS m
+  FROM captures WHERE segment <> '' AND regexp_extract(h, '([^.]+\.[^.]+)$', 1) <> '' GROUP BY 1),
+changes AS (
+  SELECT h AS pattern, CAST(DATE '2024-01-01' + CAST(m % 200 AS INTEGER) AS DATE) AS changed_on, true AS listed,
+         'host' AS category FROM hosts
+  UNION ALL SELECT h, CAST(DATE '2024-01-01' + CAST(m % 200 + 40 + m % 50 AS INTEGER) AS DATE), false, 'host' FROM hosts
+  UNION ALL SELECT h, CAST(DATE '2024-01-01' + CAST(m % 200 + 110 + m % 30 AS INTEGER) AS DATE), true, 'host' FROM hosts
+  UNION ALL SELECT pattern, CAST(DATE '2024-03-01' + CAST(m % 100 AS INTEGER) AS DATE), true, 'path' FROM parts
+  WHERE length(pattern) % 4 = 0),
+asked AS (SELECT DISTINCT url, fetched_on, h, segment FROM captures WHERE h IS NOT NULL),
+domains AS (
+  SELECT url, fetched_on, segment, array_to_string((string_split(h, '.'))[k:], '.') AS d
+  FROM (SELECT *, unnest(range(1, len(string_split(h, '.')) + 1)) AS k FROM asked)),
+offered AS (
+  SELECT url, fetched_on, d AS pattern FROM domains
+  UNION ALL SELECT url, fetched_on, d || '/' || segment FROM domains WHERE segment <> ''),
+last_change AS (
+  SELECT o.url, o.fetched_on, o.pattern, max(c.changed_on) AS changed_on
+  FROM offered o JOIN changes c ON c.pattern = o.pattern AND c.changed_on <= o.fetched_on GROUP BY ALL),
+in_force AS (
+  SELECT l.url, l.fetched_on, l.pattern, min(c.category) AS category
+  FROM last_change l JOIN changes c ON c.pattern = l.pattern AND c.changed_on = l.changed_on AND c.listed GROUP BY ALL),
+best AS (
+  SELECT url, fetched_on, count(*) AS n, arg_min(pattern, (-length(pattern), pattern)) AS pattern,
+         arg_min(category, (-length(pattern), pattern)) AS category
+  FROM in_force GROUP BY ALL)
+SELECT c.page_id, c.url, c.fetched_on, b.n IS NOT NULL AS blocked, coalesce(b.n, 0) AS n_entries, b.pattern, b.category
+FROM captures c LEFT JOIN best b ON b.url = c.url AND b.fetched_on = c.fetched_on
+"""
+
+
+@query
+def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
+    pages = _table(spark, folder, "pages").select("page_id", "url", "html")
+    _, index = warc_index.archive(pages)
+    return warc_index.look_up(warc_index.keys_of(pages), index)
