@@ -121,7 +121,7 @@ class Bpe:
 
     def _learn(self, chunks: set[str]) -> None:
         parts = {c: self.split(c) for c in chunks}
-        new = set(chain.from_iterable(parts.values())) - self.words.keys()
+        new = set(chain.from_iterable(parts.values())).difference(self.words)
         if len(self.words) + len(new) > CACHE_WORDS:
             self.words.clear()
             new = set(chain.from_iterable(parts.values()))
@@ -141,7 +141,7 @@ class Bpe:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of every text. Texts are cut before single spaces, where no match can span."""
         cut = [self.split(t) if _ODD.search(t) else _words(t) for t in texts]
-        new = set(chain.from_iterable(cut)) - self.chunks.keys()
+        new = set(chain.from_iterable(cut)).difference(self.chunks)
         if len(self.chunks) + len(new) > CACHE_WORDS:
             self.chunks.clear()
             new = set(chain.from_iterable(cut))
