@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobstrata.llm import bpe_duckdb, decontaminate, quality_ftrl, quality_rules, simhash_bk, token_planes, url_lists, warc_index
+from jobstrata.llm import (
+    bpe_duckdb,
+    decontaminate,
+    html_tree,
+    labelled_pages,
+    quality_ftrl,
+    quality_rules,
+    simhash_bk,
+    token_planes,
+    url_lists,
+    warc_index,
+)
 from jobstrata.session import materialise, prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -146,3 +157,9 @@ def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
     pages = _table(spark, folder, "pages").select("page_id", "url", "html")
     _, index = warc_index.archive(pages)
     return warc_index.look_up(warc_index.keys_of(pages), index)
+
+
+@query
+def op7_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    model = html_tree.fit(labelled_pages.pages())
+    return html_tree.extract(_table(spark, folder, "pages").select("page_id", "url", "html"), model)
