@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from jobstrata.llm import (
     labelled_pages,
     quality_ftrl,
     quality_rules,
+    secret_forest,
     simhash_bk,
     token_planes,
     url_lists,
@@ -163,3 +165,18 @@ def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
 def op7_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     model = html_tree.fit(labelled_pages.pages())
     return html_tree.extract(_table(spark, folder, "pages").select("page_id", "url", "html"), model)
+
+
+@query
+def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found, forest, words = secret_forest.train(_table(spark, folder, "documents"))
+    return secret_forest.judge(found, forest, words).select("doc_id", "nth", "value", "score", "is_secret")
+
+
+@query
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus_pipeline.run(spark, folder)
+
+
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
