@@ -22,20 +22,19 @@ from __future__ import annotations
 import os
 import re
 import unicodedata
-import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from jobstrata.llm.files import filesystem, fresh
 from jobstrata.session import materialise, new_path
 
 MAGIC = b"IDPLANE1"
@@ -77,7 +76,7 @@ class Encoder:
             stem = word.rstrip(_MARKS)
             if 0 < len(stem) < len(word) and _stays_letter(stem[-1]):
                 parts[word] = (stem, word[len(stem):])
-        ask = ({w for w in words if w not in parts} | {p for pair in parts.values() for p in pair}) - self.known.keys()
+        ask = ({w for w in words if w not in parts} | {p for pair in parts.values() for p in pair}).difference(self.known)
         ask = list(ask)
         for begin in range(0, len(ask), 5000):
             some = ask[begin:begin + 5000]
@@ -93,7 +92,7 @@ class Encoder:
         for piece in pieces(text):
             words = piece.split()
             known = self.known
-            if new := set(words) - known.keys():
+            if new := set(words).difference(known):
                 if len(known) > CACHE_WORDS:
                     known.clear()
                     new = set(words)
@@ -232,10 +231,6 @@ class Reader:
 MANIFEST = "part int, path string, n_tokens long, n_docs long"
 
 
-def _filesystem(path: str):
-    return fs.FileSystem.from_uri(path if "://" in path or path.startswith("/") else path.replace("file:", "file://", 1))
-
-
 def write(docs: DataFrame, tokenizer: str, folder: str | None = None, kind: int = 1, block: int = BLOCK_IDS,
           end_id: int | None = END_ID) -> DataFrame:
     """Encode ``doc_id, text``, write one file per range of ids, and return the stored manifest."""
@@ -250,10 +245,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str | None = None, kind: int
         for batch in batches:
             for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
                 if writer is None:
-                    path = f"{folder}/part-{part:06d}-{uuid.uuid4().hex}.ids"
-                    place, inner = _filesystem(path)
-                    place.create_dir(inner.rpartition("/")[0], recursive=True)
-                    out = place.open_output_stream(inner)
+                    path, out = fresh(folder, part, "ids")
                     writer = Writer(out, kind, block)
                 writer.add(doc_id, _with_end(encoder(tokenizer).encode(text or ""), end))
         if writer is not None:
@@ -279,7 +271,7 @@ def read(manifest: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, base in zip(batch["path"].to_pylist(), batch["base"].to_pylist()):
-                place, inner = _filesystem(path)
+                place, inner = filesystem(path)
                 rows: tuple[list, ...] = ([], [], [], [])
                 with place.open_input_file(inner) as file:
                     for doc, start, n, parts in Reader(file).documents():
