@@ -236,6 +236,8 @@ def filter_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame
         labels.select("doc_id").distinct(), "doc_id", "left_semi")).drop("text")
     rules = learn(materialise(learned, "labelled_statistics"), labels, **options)
     own = docs.columns
-    return judge(statistics(docs.select(*[F.col(f"`{c}`").alias(f"own_{k}") for k, c in enumerate(own)],
-                                        F.col("text").alias("_text")), "_text"), rules).where("kept").select(
+    counted = statistics(docs.toDF(*[f"own_{k}" for k in range(len(own))]), f"own_{own.index('text')}")
+    # a row number keeps the optimiser from moving the verdict, and with it all statistics, below the projections
+    numbered = counted.withColumn("_row", F.monotonically_increasing_id())
+    return judge(numbered, rules).where(F.col("kept") & (F.col("_row") >= 0)).select(
         *[F.col(f"own_{k}").alias(c) for k, c in enumerate(own)])
