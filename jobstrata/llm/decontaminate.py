@@ -2,9 +2,8 @@
 
 Tokens are the maximal runs of letters, digits and non-ASCII characters of the lower-cased text. Every mask picks some
 tokens of a window; equal hashes of a benchmark window and a document window are a hit, whatever stands at the ignored
-positions. Around a hit the item is laid over the document, and the best stretch of that alignment (each match +1, each
-substitution -4) decides: a document is contaminated by an item if a stretch has ``NEED`` matching tokens, or four fifths
-of an item shorter than that. Items of fewer than ``LEAST`` tokens are too short to tell and are not used.
+positions. Around a hit the item is laid over the document. A document is contaminated by an item if some stretch of that
+alignment, at most a fifth of it substituted, has ``NEED`` matching tokens, or four fifths of an item shorter than that. Items of fewer than ``LEAST`` tokens are too short to tell and are not used.
 
 The benchmark is the stated query set. It is split by a hash into blocks of about ``BLOCK_TOKENS`` tokens; each block is
 broadcast and meets all documents in one pass, so what is broadcast never grows beyond that bound. Documents are never
@@ -125,10 +124,10 @@ class Items:
             if same.sum() < need:
                 continue
             total = np.concatenate([[0], np.cumsum(np.where(same, 1, -4))])
-            lowest = np.minimum.accumulate(total)
-            stop = int(np.argmax(total - lowest))
-            start = int(np.flatnonzero(total[:stop + 1] == lowest[stop])[0])
-            if (matched := int(same[start:stop].sum())) >= need:
+            count = np.concatenate([[0], np.cumsum(same)])
+            # for every end, the earliest start from which the total has not fallen
+            start = np.searchsorted(-np.minimum.accumulate(total), -total, "left")
+            if (matched := int((count - count[start]).max())) >= need:
                 yield t, k, matched
 
 

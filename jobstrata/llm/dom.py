@@ -165,4 +165,6 @@ def parse(html: str) -> list[Node]:
                 links += 1
         open_names[name] = open_names.get(name, 0) + 1
     flush()
+    if all(n.name == "#text" for n in nodes[1:]):
+        nodes[0].about = "unmarked"
     return nodes

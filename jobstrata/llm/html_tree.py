@@ -77,25 +77,18 @@ class Model:
 
 
 def _labels(html: str) -> tuple[list[Node], list[int]]:
-    """Nodes of a labelled page and their states: text takes the label of the nearest labelled box, an element that of
-    most of the text in it."""
+    """Nodes of a labelled page and their states, each that of the nearest labelled box; what is outside of all boxes is
+    article if no text is labelled otherwise."""
     marked = re.sub(r"<(\w+)([^>]*?) data-label='([01])'>", lambda m: f"<{m[1]}{m[2]} role='label{m[3]}'>" if "role=" not in m[2]
                     else f"<{m[1]}{m[2][:-1]} label{m[3]}'>", html)
     nodes = parse(marked)
-    state, weight = [0] * len(nodes), [[0, 0] for _ in nodes]
+    state: list[int | None] = [None] * len(nodes)
     for k, node in enumerate(nodes):
         found = re.search(r"\blabel([01])\b", node.about)
-        state[k] = int(found[1]) if found else state[node.parent] if node.parent >= 0 else 0
+        state[k] = int(found[1]) if found else state[node.parent] if node.parent >= 0 else None
         node.about = re.sub(r"\blabel[01]\b", "", node.about)
-        if node.name == "#text":
-            weight[k][state[k]] += len(node.text)
-    for k in range(len(nodes) - 1, 0, -1):
-        for s in (0, 1):
-            weight[nodes[k].parent][s] += weight[k][s]
-        if nodes[k].name != "#text":
-            state[k] = int(weight[k][1] > weight[k][0])
-    state[0] = int(weight[0][1] > weight[0][0])
-    return nodes, state
+    whole = all(s != 0 for s, node in zip(state, nodes) if node.name == "#text")
+    return nodes, [int(whole) if s is None else s for s in state]
 
 
 def fit(labelled: list[str], smoothing: float = 0.5) -> Model:
@@ -109,8 +102,8 @@ def fit(labelled: list[str], smoothing: float = 0.5) -> Model:
         for k, node in enumerate(nodes):
             if k:
                 pair[node.name == "#text"][state[node.parent]][state[k]] += 1
-                kind = "#text" if node.name == "#text" else "element"
-                seen[state[k]].update([kind, *features(node)])
+            kind = "#text" if node.name == "#text" else "element"
+            seen[state[k]].update([kind, *features(node)])
     for by_parent in pair:
         for row in by_parent:
             row[:] = [x / sum(row) for x in row]

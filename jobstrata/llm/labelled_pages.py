@@ -100,8 +100,11 @@ class _Maker:
         if self.dice.random() < 0.3:
             cut = self.dice.choice([k + 4 for k in range(len(inside)) if inside.startswith("</p>", k)] or [len(inside)])
             inside = inside[:cut] + self.boilerplate() + inside[cut:]
-        if self.dice.random() < 0.08:  # a page without any box: all of it is the article
-            return f"<html><body data-label='1'>{self.paragraphs()}</body></html>"
+        bare = self.dice.random()  # pages without any box: all of it is the article
+        if bare < 0.05:
+            return self.dice.choice([self.phrase(), self.prose()])
+        if bare < 0.15:
+            return f"<html><body>{self.paragraphs()}</body></html>" if bare < 0.1 else self.paragraphs()
         article = self.box(self.dice.choice(ARTICLE), 1, title + inside)
         body = before + article + after
         if self.dice.random() < 0.4:
