@@ -31,14 +31,35 @@ from pyspark.sql import functions as F
 
 CACHE_WORDS = 500_000
 _PIECE = 1 << 20
-_GROUP = 4 << 20  # characters encoded together
-_NEW_WORDS = 40_000
+_GROUP = 12 << 20  # characters encoded together
+_NEW_BYTES = 1 << 20  # of new words in one recursion
 
 # spaces that may belong to a run of white space, and spaces that begin a word
 _ODD = re.compile(r"(?:\A|\s) | (?:\s|\Z)")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
-# Token-position rows to the fixpoint. A merged token is a new version of its first row; its second row gets id -1.
+# Words of up to SHORT bytes: each step contracts one pair in every word that still has one, the leftmost of the lowest rank.
+# A row knows the id of the next row; the last step of each word is its result.
+_SHORT = """
+WITH RECURSIVE s(step, w, pos, len, id, next_id) AS (
+  SELECT 0, w, pos, 1, id, next_id FROM start
+  UNION ALL
+  (WITH low AS (SELECT s.w, min((m.id::BIGINT << 16) | (s.pos << 8) | (s.pos + s.len)) AS x
+                FROM s JOIN merges m ON m.pair = (s.id::BIGINT << 32) | s.next_id
+                WHERE s.next_id >= 0 GROUP BY s.w),
+   hit AS (SELECT low.w, (x >> 16)::INT AS id, ((x >> 8) & 255)::INT AS pos, b.pos AS second, b.len AS more, b.next_id AS after
+           FROM low JOIN s b ON b.w = low.w AND b.pos = (x & 255)::INT)
+   SELECT s.step + 1, s.w, s.pos, CASE WHEN s.pos = h.pos THEN s.len + h.more ELSE s.len END,
+          CASE WHEN s.pos = h.pos THEN h.id ELSE s.id END,
+          CASE WHEN s.pos = h.pos THEN h.after WHEN s.pos + s.len = h.pos THEN h.id ELSE s.next_id END
+   FROM s JOIN hit h ON h.w = s.w WHERE s.pos <> h.second)
+)
+SELECT w, id FROM s JOIN (SELECT w, max(step) AS step FROM s GROUP BY w) USING (w, step) ORDER BY w, pos
+"""
+SHORT = 64
+
+# Longer words: all pairs of the lowest rank in one step, and rows replaced in place, so that memory stays linear. A merged
+# token is a new version of its first row; its second row gets id -1.
 _MERGE = """
 WITH RECURSIVE s(w, pos, len, id) USING KEY (w, pos) AS (
   SELECT w, pos, 1, id FROM start
@@ -49,12 +70,11 @@ WITH RECURSIVE s(w, pos, len, id) USING KEY (w, pos) AS (
    low AS (SELECT w, x >> 31 AS id, x & 2147483647 AS head
            FROM (SELECT w, min((id::BIGINT << 31) | pos) AS x FROM pair GROUP BY w)),
    hit AS (SELECT p.*, low.head FROM pair p JOIN low ON low.w = p.w AND low.id = p.id),
-   risk AS (SELECT h.* FROM hit h SEMI JOIN unsafe u ON u.id = h.id),
-   one AS (SELECT h.w FROM risk h JOIN live p ON p.w = h.w AND p.pos + p.len = h.pos
-                  JOIN merges m ON m.l = p.id AND m.r = h.id WHERE m.id < h.id
-           UNION SELECT h.w FROM risk h JOIN live n ON n.w = h.w AND n.pos = h.second + h.bl
-                  JOIN merges m ON m.l = h.id AND m.r = n.id WHERE m.id < h.id
-           UNION SELECT h.w FROM risk h JOIN merges m ON m.l = h.id AND m.r = h.id WHERE m.id < h.id),
+   one AS (SELECT h.w FROM hit h JOIN early_after e ON e.r = h.id JOIN live p ON p.w = h.w AND p.pos + p.len = h.pos
+                  AND p.id = e.l
+           UNION ALL SELECT h.w FROM hit h JOIN early_before e ON e.l = h.id JOIN live n ON n.w = h.w
+                  AND n.pos = h.second + h.bl AND n.id = e.r
+           UNION ALL SELECT h.w FROM hit h JOIN early_after e ON e.r = h.id AND e.l = h.id),
    runs AS (SELECT *, sum(fresh) OVER (PARTITION BY w ORDER BY pos) AS run FROM
              (SELECT *, CASE WHEN lag(second) OVER (PARTITION BY w ORDER BY pos) = pos THEN 0 ELSE 1 END AS fresh
               FROM hit WHERE l = r)),
@@ -75,25 +95,25 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
 
 
-def merge_rows(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
-    """``left, right, id`` of every split of a token into two, and the ids that are half of a token that ranks before them."""
+def merge_rows(ranks: dict[bytes, int]) -> np.ndarray:
+    """``left, right, id`` of every split of a token into two."""
     rows = [(ranks[t[:k]], ranks[t[k:]], rank) for t, rank in ranks.items() for k in range(1, len(t))
             if t[:k] in ranks and t[k:] in ranks]
-    table = np.array(rows, np.int32).reshape(-1, 3)
-    return table, np.unique(table[:, :2][table[:, :2] > table[:, 2:]])
+    return np.array(rows, np.int32).reshape(-1, 3)
 
 
 class Bpe:
     def __init__(self, path: str, pattern: str):
         self.ranks = read_ranks(path)
         self.split = regex.compile(pattern).findall
-        table, unsafe = merge_rows(self.ranks)
+        table = merge_rows(self.ranks)
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.db = duckdb.connect(":memory:", config={"threads": "1", "memory_limit": "400MB", "temp_directory": ""})
         self._register("merges_in", {"l": table[:, 0], "r": table[:, 1], "id": table[:, 2]})
-        self.db.execute("CREATE TABLE merges AS SELECT * FROM merges_in")
-        self._register("unsafe_in", {"id": unsafe})
-        self.db.execute("CREATE TABLE unsafe AS SELECT * FROM unsafe_in")
+        self.db.execute("CREATE TABLE merges AS SELECT *, (l::BIGINT << 32) | r AS pair FROM merges_in")
+        # pairs that rank before their right or left half was made
+        self.db.execute("CREATE TABLE early_after AS SELECT l, r FROM merges WHERE id < r")
+        self.db.execute("CREATE TABLE early_before AS SELECT l, r FROM merges WHERE id < l")
         tokens = list(self.ranks)
         self._register("vocabulary_in", {"id": np.array([self.ranks[t] for t in tokens], np.int32),
                                          "piece": [t.decode("latin-1") for t in tokens]})
@@ -110,10 +130,13 @@ class Bpe:
         sizes = np.array([len(d) for d in data], np.int64)
         raw = np.frombuffer(b"".join(data), np.uint8)
         first = np.cumsum(sizes) - sizes
+        ids = self.byte_ids[raw]
+        after = np.append(ids[1:], np.int32(-1))
+        after[first + sizes - 1] = -1
         self._register("start", {"w": np.repeat(np.arange(len(data), dtype=np.int32), sizes),
                                  "pos": (np.arange(len(raw)) - np.repeat(first, sizes)).astype(np.int32),
-                                 "id": self.byte_ids[raw]})
-        found = self.db.execute(_MERGE).fetchnumpy()
+                                 "id": ids, "next_id": after})
+        found = self.db.execute(_SHORT if sizes.max() <= SHORT else _MERGE).fetchnumpy()
         w, ids = np.asarray(found["w"]), np.asarray(found["id"]).astype("<u4")
         cut = np.searchsorted(w, np.arange(1, len(data)))
         for word, part in zip(words, np.split(ids, cut)):
@@ -125,11 +148,14 @@ class Bpe:
         if len(self.words) + len(new) > CACHE_WORDS:
             self.words.clear()
             new = set(chain.from_iterable(parts.values()))
-        whole, size, held = sorted(new, key=len), 0, []
+        whole, size, held = sorted(new, key=lambda w: len(w.encode("utf-8", "replace"))), 0, []
         for word in whole:  # words of like length together, few long ones at a time
+            if held and len(word.encode("utf-8", "replace")) > SHORT >= len(held[-1].encode("utf-8", "replace")):
+                self._merge(held)
+                size, held = 0, []
             held.append(word)
             size += len(word)
-            if size > 8 * _NEW_WORDS:
+            if size > _NEW_BYTES:
                 self._merge(held)
                 size, held = 0, []
         if held:
