@@ -67,7 +67,7 @@ class Encoder:
         self.known: dict[str, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch(texts, add_special_tokens=False)
+        found = self.library.encode_batch_fast(texts, add_special_tokens=False)  # no offsets are needed
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
     def _learn(self, words: set[str]) -> None:
