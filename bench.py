@@ -8,6 +8,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -28,7 +29,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 8))
     spark = build_session("bench", f"local[{cpus}]", **{
         "spark.sql.shuffle.partitions": str(2 * int(cpus)), "spark.driver.memory": "16g", "spark.ui.enabled": "false",
-        "spark.ui.showConsoleProgress": "false"})
+        "spark.ui.showConsoleProgress": "false", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-")})
     spark.sparkContext.setLogLevel("ERROR")
     spark.read.parquet(f"{folder}/orders.parquet").groupBy("o_orderstatus").count().collect()  # start the engine
     times = {}

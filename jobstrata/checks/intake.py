@@ -52,6 +52,30 @@ def json_files_to_postings(t: Tables):
     return _flat(payloads.read_platform(t.spark, landed, "careerviet", F.lit(None)))
 
 
+@query(f"""SELECT CAST(o_orderkey AS VARCHAR) AS job_id, o_orderpriority AS job_title, {_POS.format(k='o_orderkey')}
+           FROM orders""")
+def json_whole_bodies(t: Tables):
+    """Responses saved one to a file, in any formatting."""
+    job = F.struct(F.col("o_orderkey").alias("job_id"), F.col("o_orderpriority").alias("job_title"))
+    packed = responses(t.orders, "o_orderkey", job).withColumn("body", F.regexp_replace("body", "[{]", "{\n  "))
+    landed = new_path(t.spark, "landed")
+    packed.select("body").write.option("maxRecordsPerFile", 1).text(landed)
+    return payloads.read_responses(t.spark, landed, "careerviet", "bodies").select("job.job_id", "job.job_title", "pos")
+
+
+@query("""SELECT count(*) AS n_bodies, count(*) FILTER (WHERE page_no % 3 = 0) AS n_broken
+          FROM (SELECT DISTINCT o_orderkey // 100 AS page_no FROM orders)""")
+def broken_bodies_counted(t: Tables):
+    """Every third response is cut off; none may vanish uncounted."""
+    packed = responses(t.orders, "o_orderkey", F.struct(F.col("o_orderkey").alias("job_id")))
+    cut = F.when(F.col("page_no") % 3 == 0, F.expr("left(body, length(body) - 3)")).otherwise(F.col("body"))
+    landed = new_path(t.spark, "landed")
+    packed.select(cut.alias("value")).write.text(landed)
+    bodies = payloads.read_bodies(t.spark, landed, "careerviet").select("file", "broken")
+    return bodies.groupBy("file").agg(F.count(F.lit(1)).alias("n")).join(payloads.broken_bodies(bodies), "file", "left").agg(
+        F.sum("n").alias("n_bodies"), F.coalesce(F.sum("n_broken"), F.lit(0)).alias("n_broken"))
+
+
 @query(f"""SELECT 'vietnamworks' AS platform, p_partkey // 100 AS page_no, {_POS.format(k='p_partkey')},
              CAST(p_partkey AS VARCHAR) AS job_id, p_name AS job_title, '2024-01-02T03:04:05+07:00' AS created_on,
              p_brand AS emp_name, p_type AS location, 'https://v.example/' || p_partkey AS job_link,
@@ -120,7 +144,7 @@ def card_records(t: Tables):
 
 @query("SELECT event_id, CAST(regexp_extract(props, '\"k\": ([0-9]+)', 1) AS BIGINT) AS k FROM events")
 def json_fields(t: Tables):
-    return t.events.select("event_id", F.from_json("props", "k bigint")["k"].alias("k"))
+    return t.events.select("event_id", payloads.json_field(F.col("props"), "k", "bigint").alias("k"))
 
 
 _CLEAN = "regexp_replace({x}, '&amp;?', '&', 'g')"
@@ -175,22 +199,20 @@ def page_descriptions(t: Tables):
         "job_id", F.md5("job_desc").alias("desc_md5"))
 
 
-@query("""SELECT CAST(c_custkey AS VARCHAR) AS job_id, c_name AS skill_raw, (SELECT count(*) FROM customer) AS n_master
-          FROM customer WHERE c_nationkey % 2 = 0""")
+@query("""SELECT CAST(c_custkey AS VARCHAR) AS job_id, c_name || E'\\n"quoted", ' || c_mktsegment AS job_title, '2024-01-01' AS date_view,
+                 c_mktsegment AS emp_raw, 'Hà Nội' AS location_name, CAST(NULL AS VARCHAR) AS label_name,
+                 'https://x.example' AS job_link, c_name AS skill_raw FROM customer""")
 def csv_handoff(t: Tables):
     base = new_path(t.spark, "handoff")
     columns = {"job_id": F.col("c_custkey").cast("string"), "job_title": F.concat("c_name", F.lit('\n"quoted", '), "c_mktsegment"),
                "date_view": F.lit("2024-01-01"), "emp_raw": F.col("c_mktsegment"), "location_name": F.lit("Hà Nội"),
                "label_name": F.lit(None), "job_link": F.lit("https://x.example")}
-    master = t.customer.select(*[v.cast("string").alias(k) for k, v in columns.items()])
-    handoff.write(master, f"{base}/master", "csv")
-    handoff.write(t.customer.filter("c_nationkey % 2 = 0").select(
-        F.col("c_custkey").cast("string").alias("job_id"), F.col("c_name").alias("skill_raw")), f"{base}/skills", "csv")
+    handoff.write(t.customer.select(*[v.cast("string").alias(k) for k, v in columns.items()]), f"{base}/master", "csv")
+    handoff.write(t.customer.select(F.col("c_custkey").cast("string").alias("job_id"), F.col("c_name").alias("skill_raw")),
+                  f"{base}/skills", "csv")
     back, skills = handoff.read_pair(t.spark, f"{base}/master", f"{base}/skills", fmt="csv")
     _, none = handoff.read_pair(t.spark, f"{base}/master", f"{base}/missing", fmt="csv")
-    intact = back.filter(F.col("job_title").contains('\n"quoted", '))
-    n = intact.count()
-    return skills.unionByName(none).withColumn("n_master", F.lit(n).cast("bigint"))
+    return back.join(skills.unionByName(none), "job_id").select(*columns, "skill_raw")
 
 
 @query("""SELECT CAST(o_orderkey AS VARCHAR) AS job_id, CAST(o_custkey AS BIGINT) AS emp_id FROM orders""")

@@ -176,7 +176,8 @@ def skills_of_survivors(t: Tables):
 def sites_in_one_layout(t: Tables):
     columns = {"customer": ["c_custkey", "c_name", "c_nationkey"], "supplier": ["s_suppkey", "s_name", "s_nationkey"],
                "other": ["id", "name", "nation"]}
-    return unify.union_sites([("customer", t.customer), ("supplier", t.supplier), ("unknown", t.region)], columns=columns)
+    return unify.union_sites([("customer", t.customer), ("supplier", t.supplier), ("unknown", t.region)], columns=columns,
+                             on_missing="skip")
 
 
 @query("""SELECT p_partkey AS job_id, p_type AS skill_raw FROM part UNION ALL
@@ -190,7 +191,7 @@ def skill_lists_together(t: Tables):
 def result_pages_joined(t: Tables):
     page = F.struct("turn", "role")
     nested = t.conversations.select("conv_id", F.array(F.array(page), F.array().cast("array<struct<turn: bigint, role: string>>")).alias("pages"))
-    return nested.select("conv_id", F.explode(F.flatten("pages")).alias("p")).select("conv_id", "p.turn", "p.role")
+    return unify.explode_pages(nested, "pages", ["conv_id"]).select("conv_id", "entry.turn", "entry.role")
 
 
 @query("""SELECT DISTINCT strftime(d, '%Y-%m-%d') AS actual_date FROM (SELECT o_orderdate AS d FROM orders UNION ALL
@@ -218,4 +219,4 @@ def rows_of_surviving_ids(t: Tables):
           FROM part""")
 def ordered_distinct_in_list(t: Tables):
     listed = F.array("p_type", "p_brand", "p_type", "p_brand")
-    return t.part.select("p_partkey", F.array_join(F.array_distinct(listed), "|").alias("found"))
+    return t.part.select("p_partkey", F.array_join(text.distinct_in_order(listed), "|").alias("found"))

@@ -8,6 +8,7 @@ from jobstrata.checks.base import Tables, query
 from jobstrata.functions import text
 from jobstrata.operators import lookups, metrics, unify, upserts
 from jobstrata.operators.numbering import number_rows
+from jobstrata.plans import load
 from jobstrata.session import materialise, new_path
 from jobstrata.sources.tables import TableStore
 
@@ -165,4 +166,5 @@ def null_skills_dropped(t: Tables):
                  false AS is_expired FROM orders""")
 def constant_columns(t: Tables):
     return t.orders.select(F.col("o_orderkey").cast("string").alias("job_id"), "o_orderpriority").withColumnsRenamed(
-        {"o_orderpriority": "label_name"}).withColumns({"last_seen": F.lit("1999-06-30"), "is_expired": F.lit(False)})
+        {"o_orderpriority": "label_name"}).transform(load.seen_now, "1999-06-30 00:00:00").withColumn(
+        "last_seen", F.date_format("last_seen", "yyyy-MM-dd"))

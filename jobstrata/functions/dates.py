@@ -14,6 +14,7 @@ from jobstrata import config
 # text shape -> pattern, for texts without a zone; tried only when the shape fits, so that no
 # row pays for failed parses
 YEAR_FIRST = [
+    (r"^\d{8}$", "yyyyMMdd"),
     (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
     (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
     (r"^\d{4}-\d{1,2}-\d{1,2}[ T]\d{2}:\d{2}$", "yyyy-M-d HH:mm"),
@@ -41,6 +42,9 @@ UNITS = {
     "second": "second|giây", "minute": "minute|phút", "hour": "hour|giờ", "day": "day|ngày",
     "week": "week|tuần", "month": "month|tháng", "year": "year|năm",
 }
+# largest amount of each unit that is believed, about 200 years; more cannot be an age and would overflow
+MOST = {"second": 2_000_000_000, "minute": 100_000_000, "hour": 1_750_000, "day": 73_000, "week": 10_400,
+        "month": 2_400, "year": 200}
 
 
 def _by_shape(text: Column, table: Iterable[tuple[str, str]]) -> Column:
@@ -63,10 +67,11 @@ def relative_timestamp(text: Column, run_ts: Column, zone: str = config.LOCAL_ZO
     """``3 days ago`` / ``3 ngày trước`` counted back from ``run_ts`` in local time; else NULL."""
     now = F.from_utc_timestamp(run_ts, zone)
     low = F.lower(text)
-    amount = F.regexp_extract(low, r"(\d+)", 1).try_cast("int")
+    said = F.regexp_extract(low, r"(\d+)", 1).try_cast("int")
     out = F.when(low.rlike(r"yesterday|hôm qua"), now - F.expr("interval 1 day"))
     out = out.when(low.rlike(r"just now|today|vừa xong|hôm nay"), now)
     for unit, words in UNITS.items():
+        amount = F.when(said <= MOST[unit], said)
         if unit in ("second", "minute", "hour"):
             step = {"second": (0, 0, amount), "minute": (0, amount, 0), "hour": (amount, 0, 0)}[unit]
             back = now - F.make_dt_interval(F.lit(0), *[x if isinstance(x, Column) else F.lit(x) for x in step])
@@ -83,7 +88,8 @@ def posting_timestamp(value: Column, link: Column, run_ts: Column, *,
                       zone: str = config.LOCAL_ZONE) -> Column:
     """UTC instant of a published date in any supported form; NULL when it cannot be read.
 
-    Epoch numbers may come as digits-only text. Texts without a zone are local time. Links of
+    Epoch numbers have 10 digits (seconds, perhaps with a fraction) or 13 (milliseconds), 8 digits are a date; other
+    numbers, negative ones among them, are no date. Texts without a zone are local time. Links of
     day-first sites decide how a short numeric date is read.
     """
     text = F.trim(value)
@@ -93,7 +99,7 @@ def posting_timestamp(value: Column, link: Column, run_ts: Column, *,
     day_first_local = _by_shape(text, DAY_FIRST)
     local = F.when(day_first, F.coalesce(day_first_local, year_first_local)).otherwise(
         F.coalesce(year_first_local, day_first_local))
-    return (F.when(text.rlike(r"^-?\d+(\.\d+)?$"), epoch_timestamp(text))
+    return (F.when(text.rlike(r"^\d{10}(\.\d+)?$|^\d{13}$"), epoch_timestamp(text))
             .when(text.rlike(r"(Z|[+-]\d{2}:?\d{2})$") & text.rlike(r":\d{2}"), _by_shape(text, ZONED))
             .when(text.rlike(r"^[\d\-/.: T]+$"), F.to_utc_timestamp(local, zone))
             .otherwise(relative_timestamp(text, run_ts, zone)))
@@ -113,11 +119,12 @@ def local_date(ts: Column, zone: str = config.LOCAL_ZONE) -> Column:
 def age_to_date(text: Column, run_ts: Column) -> Column:
     """Date of a card saying ``Posted 5 hours ago``; texts without a known unit give the run date."""
     low = F.lower(F.regexp_replace(text, "\n", " "))
-    amount = F.regexp_extract(low, r"(\d+)", 1).try_cast("int")
+    said = F.regexp_extract(low, r"(\d+)", 1).try_cast("int")
+    hours, days, minutes = (F.when(said <= MOST[u], said) for u in ("hour", "day", "minute"))
     zero = F.lit(0)
-    back = (F.when(low.contains("hour"), F.make_dt_interval(zero, amount))
-            .when(low.contains("day"), F.make_dt_interval(amount))
-            .when(low.contains("minute"), F.make_dt_interval(zero, zero, amount)))
+    back = (F.when(low.contains("hour"), F.make_dt_interval(zero, hours))
+            .when(low.contains("day"), F.make_dt_interval(days))
+            .when(low.contains("minute"), F.make_dt_interval(zero, zero, minutes)))
     return F.coalesce(run_ts - back, run_ts).cast("date")
 
 

@@ -124,6 +124,11 @@ def normalise_location(location: Column, names: Iterable[str] = config.PROVINCES
     return F.when(F.size(found) > 0, F.array_join(found, ", ")).otherwise(F.lit(other))
 
 
+def distinct_in_order(values: Column) -> Column:
+    """A list without repeats, each value where it came first."""
+    return F.array_distinct(values)
+
+
 def join_places(places: Column) -> Column:
     """One text from a list of place names."""
     return F.array_join(places, ", ")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from jobstrata.functions.dates import first_slash_date
+from jobstrata.operators.unify import first_detail
 from jobstrata.session import materialise
 
 # Cell edges on the unit sphere, fine to coarse. The last one covers the whole sphere, so a point
@@ -61,18 +63,17 @@ def nearest_place(points: DataFrame, gazetteer: DataFrame, *, lat: str = "lat",
 def enrich_from_detail(postings: DataFrame, details: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """Date and province of postings from their detail pages.
 
-    ``details`` holds ``job_id``, ``date_texts`` and ``coordinates`` (two texts). What a page does
-    not give stays as it was.
+    ``details`` holds ``platform``, ``job_id``, ``date_texts`` and ``coordinates`` (two texts); of several for one
+    posting the first counts. What a page does not give stays as it was.
     """
-    from jobstrata.functions.dates import first_slash_date
-
+    keys = [k for k in ("platform", "job_id") if k in details.columns and k in postings.columns]
     located = nearest_place(
-        details.select("job_id", first_slash_date(F.col("date_texts")).alias("_day"),
+        first_detail(details, keys).select(*keys, first_slash_date(F.col("date_texts")).alias("_day"),
                        F.get("coordinates", F.lit(0)).try_cast("double").alias("_la"),
                        F.get("coordinates", F.lit(1)).try_cast("double").alias("_lo")),
         gazetteer, lat="_la", lon="_lo")
-    found = located.select("job_id", "_day", F.when(F.col("admin1").isNotNull(), F.array("admin1")).alias("_place"))
-    return (postings.join(found, "job_id", "left")
+    found = located.select(*keys, "_day", F.when(F.col("admin1").isNotNull(), F.array("admin1")).alias("_place"))
+    return (postings.join(found, keys, "left")
             .withColumn("created_on", F.coalesce("_day", "created_on"))
             .withColumn("location_raw", F.coalesce("_place", "location_raw"))
             .drop("_day", "_place"))

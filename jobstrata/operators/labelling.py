@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from jobstrata import config
 from jobstrata.functions import text
 from jobstrata.operators.numbering import number_rows
+from jobstrata.session import materialise
 
 Labeller = Callable[[DataFrame], DataFrame]  # (batch_id, job_id, job_title) -> (job_id, job_label)
 
@@ -42,12 +44,20 @@ def decode_reply(reply: Column, labels: Sequence[str] = config.ROLE_LABELS) -> C
     return F.when(known, jobs)
 
 
-def complete_batches(requests: DataFrame, replies: DataFrame, batch: str = "batch_id") -> DataFrame:
-    """Replies of the batches that came back with as many rows as were sent, and not empty."""
-    sent = requests.groupBy(batch).agg(F.count(F.lit(1)).alias("_sent"))
-    got = replies.groupBy(batch).agg(F.count(F.lit(1)).alias("_got"))
-    good = sent.join(got, batch).filter("_sent = _got").select(batch)
-    return replies.join(good, batch, "left_semi")
+def complete_batches(requests: DataFrame, replies: DataFrame, batch: str = "batch_id", key: str = "job_id") -> DataFrame:
+    """One reply per posting of the batches in which exactly the postings asked for came back.
+
+    A posting answered twice counts once and keeps its smallest answer; a reply without id is ignored.
+    """
+    rest = [c for c in replies.columns if c not in (batch, key)]
+    known = replies.filter(F.col(batch).isNotNull() & F.col(key).isNotNull())
+    once = (known.groupBy(batch, key).agg(F.min(F.struct(*rest)).alias("_r")).select(batch, key, "_r.*") if rest
+            else known.select(batch, key).distinct())
+    asked = requests.select(batch, key).distinct().withColumn("_asked", F.lit(1))
+    state = asked.join(once.select(batch, key, F.lit(1).alias("_got")), [batch, key], "full").groupBy(batch).agg(
+        F.count("_asked").alias("_n"), F.count("_got").alias("_m"), F.count(F.expr("_asked + _got")).alias("_both"))
+    good = state.filter("_n = _both and _m = _both and _n > 0").select(batch)
+    return once.join(good, batch, "left_semi")
 
 
 def rule_labeller(requests: DataFrame, title: str = "job_title") -> DataFrame:
@@ -55,27 +65,30 @@ def rule_labeller(requests: DataFrame, title: str = "job_title") -> DataFrame:
     return requests.select("batch_id", "job_id", text.role_by_title(F.col(title)).alias("job_label"))
 
 
-def label_with_fallbacks(requests: DataFrame, labellers: Sequence[Labeller],
-                         failed: str = config.FAILED_LABEL) -> DataFrame:
+def label_with_fallbacks(requests: DataFrame, labellers: Sequence[Labeller], failed: str = config.FAILED_LABEL,
+                         labels: Sequence[str] | None = None) -> DataFrame:
     """Label by the first labeller whose batch is complete; ``failed`` when none is.
 
-    ``requests`` holds ``batch_id`` and a unique ``job_id``; a labeller keeps both.
+    ``requests`` holds ``batch_id`` and ``job_id``; a labeller keeps both. Each labeller is sent only the batches still
+    open, and its reply is stored once, so what is judged is what is used. With ``labels`` a reply with another label
+    does not count.
     """
-    out = requests
-    names = []
-    for i, labeller in enumerate(labellers):
-        name = f"_label_{i}"
-        names.append(name)
-        replies = complete_batches(requests, labeller(requests))
-        out = out.join(replies.select("batch_id", "job_id", F.col("job_label").alias(name)),
-                       ["batch_id", "job_id"], "left")
-    return out.select("batch_id", "job_id", F.coalesce(*[F.col(n) for n in names], F.lit(failed)).alias("job_label"))
+    open_rows, done = requests, []
+    for labeller in labellers:
+        replies = labeller(open_rows).select("batch_id", "job_id", "job_label").filter(F.col("job_label").isNotNull())
+        if labels is not None:
+            replies = replies.filter(F.col("job_label").isin(list(labels)))
+        good = materialise(complete_batches(open_rows, materialise(replies, "reply")), "labels")
+        done.append(good)
+        open_rows = open_rows.join(good.select("batch_id").distinct(), "batch_id", "left_anti")
+    rest = open_rows.select("batch_id", "job_id").distinct().withColumn("job_label", F.lit(failed))
+    return reduce(DataFrame.unionByName, [*done, rest])
 
 
 def fill_label(df: DataFrame, labels: DataFrame, *, job_id: str = "job_id", label: str = "label",
                none: str = config.NO_LABEL) -> DataFrame:
     """Label from the map if the posting is in it, else the rule label, else ``none``."""
-    given = labels.select(F.col("job_id").cast("string").alias("_id"), F.col("job_label").alias("_given"))
+    given = labels.groupBy(F.col("job_id").cast("string").alias("_id")).agg(F.min("job_label").alias("_given"))
     joined = df.join(given, F.col(job_id).cast("string") == F.col("_id"), "left")
     rule = F.when(F.col(label) != "", F.col(label))
     return joined.withColumn(label, F.coalesce("_given", rule, F.lit(none))).drop("_id", "_given")

@@ -12,11 +12,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jobstrata import config
+from jobstrata.operators.unify import assert_unique
 
 
 def attach_key(df: DataFrame, dim: DataFrame, *, value: str, dim_value: str, surrogate: str,
                name: str | None = None, how: str = "left") -> DataFrame:
-    """Add the surrogate id of ``value``; a NULL value matches nothing."""
+    """Add the surrogate id of ``value``; a NULL value matches nothing, a repeated one in the dimension raises."""
+    assert_unique(dim.filter(F.col(dim_value).isNotNull()), [dim_value], f"dimension of {value}")
     side = dim.select(F.col(dim_value).alias("_value"), F.col(surrogate).alias(name or surrogate))
     return df.join(side, F.col(value) == F.col("_value"), how).drop("_value")
 

@@ -21,11 +21,11 @@ def align(df: DataFrame, columns: Sequence[str], layout: Sequence[str]) -> DataF
 
 def union_sites(frames: Sequence[tuple[str, DataFrame]], *,
                 columns: Mapping[str, Sequence[str]] = config.SITE_COLUMNS, fallback: str = "other",
-                on_missing: str = "skip") -> DataFrame:
+                on_missing: str = "raise") -> DataFrame:
     """All rows of all sites in the shared layout, with the site name in ``platform``.
 
-    Sites not listed in ``columns`` use the fallback columns. A frame that lacks a needed column
-    is reported and left out (``on_missing="skip"``) or raises.
+    Sites not listed in ``columns`` use the fallback columns. A frame that lacks a needed column raises, or on demand
+    (``on_missing="skip"``) is left out with a warning that names it; ``left_out`` counts such rows.
     """
     layout = columns[fallback]
     parts = []
@@ -43,11 +43,22 @@ def union_sites(frames: Sequence[tuple[str, DataFrame]], *,
     return reduce(DataFrame.unionByName, parts)
 
 
+def left_out(frames: Sequence[tuple[str, DataFrame]], *, columns: Mapping[str, Sequence[str]] = config.SITE_COLUMNS,
+             fallback: str = "other") -> dict[str, int]:
+    """Number of rows of every site that lacks a needed column."""
+    return {site: df.count() for site, df in frames if set(columns.get(site, columns[fallback])) - set(df.columns)}
+
+
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     """Bag union by column name."""
     return reduce(DataFrame.unionByName, frames)
 
 
+def explode_pages(df: DataFrame, pages: str, keep: Sequence[str], name: str = "entry") -> DataFrame:
+    """One row per entry of result pages that lie as lists in a list; empty pages give none."""
+    return df.select(*keep, F.explode(F.flatten(pages)).alias(name))
+
+
 def distinct_values(df: DataFrame, columns: Sequence[str], name: str | None = None) -> DataFrame:
     """Distinct non-null values of one column, or of several columns put under one name."""
     name = name or columns[0]
@@ -65,6 +76,14 @@ def explode_skills(df: DataFrame, skills: str = "skills", name: str = "skill_raw
     return df.select(*keep, F.explode_outer(skills).alias(name)).filter(F.col(name).isNotNull())
 
 
+def first_detail(details: DataFrame, keys: Sequence[str] = ("platform", "job_id"), order: str = "fetched_at") -> DataFrame:
+    """One detail row per posting: the earliest fetch where ``order`` is known, and of equal ones the smallest."""
+    rest = [c for c in details.columns if c not in (*keys, order)]
+    first = [F.col(order).isNull().alias("_late"), F.col(order)] if order in details.columns else []
+    best = F.min(F.struct(*first, F.struct(*rest).alias("_d")))
+    return details.groupBy(*keys).agg(best.alias("_b")).select(*keys, "_b._d.*")
+
+
 def assert_unique(df: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
     """Raise when a key occurs twice; otherwise return ``df``."""
     twice = df.groupBy(*keys).count().filter("count > 1").limit(1).collect()

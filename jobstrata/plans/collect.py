@@ -48,7 +48,8 @@ def candidates(raw: DataFrame, words: Dictionaries = Dictionaries()) -> DataFram
 
 def with_descriptions(postings: DataFrame, details: DataFrame, terms: Sequence[str] = config.SKILLS) -> DataFrame:
     """Skills from the description where the site itself lists none."""
-    found = details.select("platform", "job_id", text.extract_terms(F.col("job_desc"), terms).alias("_found"))
+    found = unify.first_detail(details).select(
+        "platform", "job_id", text.extract_terms(F.col("job_desc"), terms).alias("_found"))
     return (postings.join(found, ["platform", "job_id"], "left")
             .withColumn("skills", F.coalesce("skills", "_found")).drop("_found"))
 

@@ -41,15 +41,18 @@ def prepare(master: DataFrame, skills: DataFrame, *, run_ts: str,
                 .withColumn("date_view", dates.local_date(dates.posting_timestamp_or_default(
                     F.col("date_view"), F.col("job_link"), now)))
                 .withColumn("location_name", text.normalise_location(F.col("location_name"), places))
-                .withColumn("last_seen", F.lit(run_ts).cast("timestamp").cast("date"))
-                .withColumn("is_expired", F.lit(False))
                 .withColumn("job_link", links.rewrite_locale(F.col("job_link")))
                 .dropna(subset=["job_link"]))
-    postings = materialise(dedupe.first_seen(postings, ["job_id"], ["seq"]), "unique")
+    postings = materialise(dedupe.first_seen(seen_now(postings, run_ts), ["job_id"], ["seq"]), "unique")
     trimmed = skills.select("job_id", text.strip(F.col("skill_raw")).alias("skill_raw"))
     return Prepared(postings, dedupe.only_in(trimmed, postings, "job_id"))
 
 
+def seen_now(postings: DataFrame, run_ts: str) -> DataFrame:
+    """The constant columns of a run: last seen today, not expired."""
+    return postings.withColumns({"last_seen": F.lit(run_ts).cast("timestamp").cast("date"), "is_expired": F.lit(False)})
+
+
 def seed_labels(store: TableStore, default_label: int = config.DEFAULT_LABEL_KEY) -> None:
     """Put the label for "no data job" at its fixed id, so that later ids start above it."""
     labels = store.read("label_dim")

@@ -7,14 +7,14 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobstrata import config
 from jobstrata.functions.links import fill_template
 
 
-def request_list(keywords: DataFrame, keyword: str = "keyword",
-                 templates: Mapping[str, tuple] = config.REQUEST_TEMPLATES) -> DataFrame:
+def request_list(keywords: DataFrame, templates: Mapping[str, tuple], keyword: str = "keyword") -> DataFrame:
     """One row per request: site, page number, address and query fields.
 
+    ``templates`` maps a site to its address, its query fields with ``{keyword}`` and ``{page_num}``, and its pages.
+
     Sites and pages are short lists kept in the plan and exploded next to each keyword, so
     nothing is joined.
     """

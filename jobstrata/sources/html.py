@@ -12,6 +12,11 @@ from functools import lru_cache
 from html.parser import HTMLParser
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+SILENT = {"script", "style"}
+# an element that ends where one of these starts, unless the container comes in between
+ENDS = {"li": ({"li"}, {"ul", "ol"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
+        "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
+        "option": ({"option"}, {"select"})}
 _PART = re.compile(r"""\.([\w-]+)|\[\s*([\w-]+)\s*(?:(\*?=)\s*"([^"]*)"\s*)?\]|([\w-]+)""")
 _STEP = re.compile(r"""(?:[^\s\[]|\[[^\]]*\])+""")
 
@@ -24,14 +29,27 @@ class Element:
     children: list = field(default_factory=list)  # elements and text, in page order
 
     def walk(self):
-        for child in self.children:
+        """All elements below this one in page order, however deep."""
+        stack = self.children[::-1]
+        while stack:
+            child = stack.pop()
             if isinstance(child, Element):
                 yield child
-                yield from child.walk()
+                stack += child.children[::-1]
 
     def text(self) -> str:
-        """Stripped text pieces of the element and everything in it, joined without a separator."""
-        return "".join(c.text() if isinstance(c, Element) else c.strip() for c in self.children)
+        """Stripped text pieces of the element and everything in it, joined without a separator.
+
+        What scripts and style sheets hold is no text.
+        """
+        pieces, stack = [], self.children[::-1]
+        while stack:
+            child = stack.pop()
+            if not isinstance(child, Element):
+                pieces.append(child.strip())
+            elif child.tag not in SILENT:
+                stack += child.children[::-1]
+        return "".join(pieces)
 
     def find_all(self, selector: str):
         steps = _parse(selector)
@@ -75,24 +93,44 @@ class _Builder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Element("", {}, None)
+        self.open: dict[str, int] = {}  # open elements by tag, so that a stray end tag costs nothing
 
     def handle_starttag(self, tag, attrs):
         if tag == "p" and self.at.tag == "p":  # a paragraph ends where the next one starts
-            self.at = self.at.parent
+            self._leave(self.at)
+        elif tag in ENDS:
+            self._end_open(*ENDS[tag])
         e = Element(tag, dict(attrs), self.at)
         self.at.children.append(e)
         if tag not in VOID:
             self.at = e
+            self.open[tag] = self.open.get(tag, 0) + 1
+
+    def _end_open(self, ended, containers):
+        """Close the nearest of ``ended`` inside the nearest container, and with it what is open in it."""
+        if not any(self.open.get(t) for t in ended):
+            return
+        e = self.at
+        while e.parent is not None and e.tag not in ended and e.tag not in containers:
+            e = e.parent
+        if e.tag in ended:
+            self._leave(e)
+
+    def _leave(self, e):
+        while self.at is not e.parent:
+            self.open[self.at.tag] -= 1
+            self.at = self.at.parent
 
     def handle_startendtag(self, tag, attrs):
         self.at.children.append(Element(tag, dict(attrs), self.at))
 
     def handle_endtag(self, tag):
+        if not self.open.get(tag):
+            return
         e = self.at
-        while e is not None and e.tag != tag:
+        while e.tag != tag:
             e = e.parent
-        if e is not None and e.parent is not None:
-            self.at = e.parent
+        self._leave(e)
 
     def handle_data(self, data):
         self.at.children.append(data)

@@ -30,15 +30,32 @@ def _one(card, selector: str | None, attr: str | None = None) -> str | None:
     return node.attrs.get(attr) if attr else node.text()
 
 
-def find_cards(pages: DataFrame, sites: Mapping[str, Mapping[str, str]] = config.LISTING_SITES) -> DataFrame:
-    """One row per card of the pages ``(platform, page_no, html)``; absent fields are NULL."""
+def unknown_sites(pages: DataFrame, sites: Mapping[str, Mapping[str, str]]) -> DataFrame:
+    """Pages per site that has no settings."""
+    known = F.coalesce(F.col("platform").isin(list(sites)), F.lit(False))
+    return pages.filter(~known).groupBy("platform").agg(F.count(F.lit(1)).alias("n_pages"))
+
+
+def _settings(sites: Mapping[str, Mapping[str, str]], platform: str, on_unknown: str):
+    if platform not in sites and on_unknown == "raise":
+        raise ValueError(f"no settings for the pages of {platform}")
+    return sites.get(platform)
+
+
+def find_cards(pages: DataFrame, sites: Mapping[str, Mapping[str, str]] = config.LISTING_SITES,
+               on_unknown: str = "raise") -> DataFrame:
+    """One row per card of the pages ``(platform, page_no, html)``; absent fields are NULL.
+
+    A page of a site without settings raises, or on demand (``on_unknown="skip"``) gives no card; ``unknown_sites`` counts
+    them.
+    """
     sites = {name: dict(site) for name, site in sites.items()}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for platform, page_no, page in zip(batch["platform"], batch["page_no"], batch["html"]):
-                site = sites.get(platform)
+                site = _settings(sites, platform, on_unknown)
                 if site is None:
                     continue
                 for pos, card in enumerate(html.parse(page).find_all(site["container"])):
@@ -67,15 +84,17 @@ def cards_to_postings(cards: DataFrame, sites: Mapping[str, Mapping[str, str]] =
     return linked.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.POSTING_RAW])
 
 
-def find_details(pages: DataFrame, sites: Mapping[str, Mapping[str, str]] = config.DETAIL_SITES) -> DataFrame:
-    """Description, date candidates and coordinates of detail pages ``(platform, job_id, html)``."""
+def find_details(pages: DataFrame, sites: Mapping[str, Mapping[str, str]] = config.DETAIL_SITES,
+                 on_unknown: str = "raise") -> DataFrame:
+    """Description, date candidates and coordinates of detail pages ``(platform, job_id, html)``; sites without settings as
+    in :func:`find_cards`."""
     sites = {name: dict(site) for name, site in sites.items()}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for platform, job_id, page in zip(batch["platform"], batch["job_id"], batch["html"]):
-                site = sites.get(platform)
+                site = _settings(sites, platform, on_unknown)
                 if site is None:
                     continue
                 root = html.parse(page)
@@ -89,13 +108,14 @@ def find_details(pages: DataFrame, sites: Mapping[str, Mapping[str, str]] = conf
     return pages.select("platform", "job_id", "html").mapInPandas(run, DETAIL)
 
 
-def fetched_details(fetches: DataFrame, sites: Mapping[str, Mapping[str, str]] = config.DETAIL_SITES) -> DataFrame:
+def fetched_details(fetches: DataFrame, sites: Mapping[str, Mapping[str, str]] = config.DETAIL_SITES,
+                    on_unknown: str = "raise") -> DataFrame:
     """Details from fetch results ``(platform, job_id, status, html)``.
 
     A missing page (404) or a failed fetch (no status) gives no row, another status an empty
     description.
     """
-    got = find_details(fetches.filter("status = 200"), sites)
+    got = find_details(fetches.filter("status = 200"), sites, on_unknown)
     refused = fetches.filter("status not in (200, 404)").select(
         "platform", "job_id", F.lit("").alias("job_desc"),
         F.lit(None).cast("array<string>").alias("date_texts"),

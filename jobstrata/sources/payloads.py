@@ -1,7 +1,7 @@
 """Landed API responses -> postings in one raw layout.
 
-A response is one JSON object per line, ``{"page_no": 3, "data": [posting, ...]}``; ``page_no``
-is the request number and keeps the order in which postings were seen.
+A response is one JSON object, ``{"page_no": 3, "data": [posting, ...]}``, on a line of its own or in a file of its own;
+``page_no`` is the request number and keeps the order in which postings were seen.
 """
 
 from __future__ import annotations
@@ -20,18 +20,45 @@ def response_schema(platform: str) -> T.StructType:
     return T.StructType([T.StructField("page_no", T.LongType()), *schemas.PAYLOADS[platform].fields])
 
 
-def read_responses(spark: SparkSession, path: str | Sequence[str], platform: str) -> DataFrame:
+def read_bodies(spark: SparkSession, path: str | Sequence[str], platform: str, layout: str = "lines") -> DataFrame:
+    """``file, page_no, data, broken`` of every landed body; ``broken`` holds the text of one that cannot be read.
+
+    ``layout`` says how bodies lie in the files: ``lines``, one JSON object per line, or ``bodies``, one object per file
+    in any formatting, as a response is saved. A body that says no ``page_no`` gets 0.
+    """
+    if layout not in ("lines", "bodies"):
+        raise ValueError(f"unknown layout {layout}")
+    schema = response_schema(platform).add("_broken", "string")
+    read = spark.read.schema(schema).option("columnNameOfCorruptRecord", "_broken").option("multiLine", layout == "bodies")
+    # Spark refuses to read the column of broken records alone, so it is taken next to another
+    broken = F.when(F.col("_broken").isNotNull() | F.col("data").isNotNull(), F.col("_broken"))
+    return read.json(path).select(F.col("_metadata.file_path").alias("file"), F.coalesce("page_no", F.lit(0)).alias(
+        "page_no"), "data", broken.alias("broken"))
+
+
+def broken_bodies(bodies: DataFrame) -> DataFrame:
+    """Number of unreadable bodies per file."""
+    return bodies.filter(F.col("broken").isNotNull()).groupBy("file").agg(F.count(F.lit(1)).alias("n_broken"))
+
+
+def read_responses(spark: SparkSession, path: str | Sequence[str], platform: str, layout: str = "lines",
+                   on_broken: str = "raise") -> DataFrame:
     """One row per posting of the landed files: ``page_no``, ``pos`` and the struct ``job``.
 
-    Responses without ``data`` and bodies that are no objects give no rows.
+    Responses without ``data`` give no rows. Unreadable bodies raise, or on demand (``on_broken="skip"``) are left out;
+    :func:`broken_bodies` counts them.
     """
-    body = spark.read.schema(response_schema(platform)).json(path)
-    return _postings(body.select("page_no", "data"))
+    bodies = read_bodies(spark, path, platform, layout)
+    if on_broken == "raise":
+        fail = F.raise_error(F.concat(F.lit("unreadable response in "), F.col("file"))).cast("string")
+        bodies = bodies.filter(F.coalesce(F.when(F.col("broken").isNotNull(), fail), F.lit("")) == "")
+    return _postings(bodies.filter(F.col("broken").isNull()).select("page_no", "data"))
 
 
-def parse_responses(bodies: DataFrame, platform: str, body: str = "body") -> DataFrame:
-    """Same for responses landed in a table with ``page_no`` and a JSON text column."""
-    parsed = F.from_json(body, schemas.PAYLOADS[platform])
+def parse_responses(bodies: DataFrame, platform: str, body: str = "body", on_broken: str = "raise") -> DataFrame:
+    """Same for responses landed in a table with ``page_no`` and a JSON text column; a NULL body has no postings."""
+    mode = "FAILFAST" if on_broken == "raise" else "PERMISSIVE"
+    parsed = F.from_json(body, schemas.PAYLOADS[platform], {"mode": mode})
     return _postings(bodies.select("page_no", parsed["data"].alias("data")))
 
 
@@ -83,6 +110,11 @@ def flatten_itviec(df: DataFrame, run_ts: Column) -> DataFrame:
                 skills=text.merge_tags(j.tags, j.tooltip))
 
 
+def json_field(body: Column, name: str, kind: str) -> Column:
+    """One field of a JSON text; NULL where the text or the field cannot be read."""
+    return F.from_json(body, f"`{name}` {kind}")[name]
+
+
 def skill_names(skills: Column) -> Column:
     """Names of nested skill objects; NULL when the posting lists none."""
     return F.when(F.size(skills) > 0, F.transform(skills, lambda s: s.skillName))
@@ -110,6 +142,7 @@ def flatten(df: DataFrame, platform: str, run_ts: Column) -> DataFrame:
     return by_site[platform](df)
 
 
-def read_platform(spark: SparkSession, path: str | Sequence[str], platform: str, run_ts: Column) -> DataFrame:
+def read_platform(spark: SparkSession, path: str | Sequence[str], platform: str, run_ts: Column, layout: str = "lines",
+                  on_broken: str = "raise") -> DataFrame:
     """Landed files of one API site in the raw layout."""
-    return flatten(read_responses(spark, path, platform), platform, run_ts)
+    return flatten(read_responses(spark, path, platform, layout, on_broken), platform, run_ts)

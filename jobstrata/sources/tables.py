@@ -33,6 +33,12 @@ def _numbered(spark: SparkSession, path: str, prefix: str) -> list[int]:
     return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix))
 
 
+def batches(spark: SparkSession, path: str) -> list[str]:
+    """Completely written folders ``batch=n`` below a folder, in order."""
+    found = [f"{path}/batch={n}" for n in _numbered(spark, path, "batch=")]
+    return [p for p in found if exists(spark, f"{p}/_SUCCESS")]
+
+
 class TableStore:
     """Named tables below one folder."""
 

@@ -10,27 +10,41 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from jobstrata import schemas
 from jobstrata.plans import collect, load
 from jobstrata.sources import payloads
-from jobstrata.sources.tables import TableStore
+from jobstrata.sources.tables import TableStore, batches
 
 
-def load_new_payloads(spark: SparkSession, landed: dict[str, str], store: TableStore, progress: str, *,
-                      run_ts: str) -> None:
-    """Load new response files of the given sites (name -> folder of landed responses)."""
-    now = F.lit(run_ts).cast("timestamp")
+def load_new_payloads(spark: SparkSession, landed: dict[str, str], store: TableStore, progress: str, *, run_ts: str,
+                      details: DataFrame | None = None, on_broken: str = "raise") -> None:
+    """Load new response files of the given sites (name -> folder of landed responses) in one go.
+
+    Micro-batches only put the new postings of each site aside, under a name per site and batch. Then one collect and one
+    load run over what all sites brought, so that copies of a posting on two sites meet. Batches count as loaded only
+    after that, so a run that broke off is made up for by the next.
+    """
+    now, base = F.lit(run_ts).cast("timestamp"), progress.rstrip("/")
     for platform, folder in landed.items():
         bodies = (spark.readStream.format("text").load(folder)
                   .select(F.get_json_object("value", "$.page_no").try_cast("bigint").alias("page_no"),
                           F.col("value").alias("body")))
 
-        def run(batch: DataFrame, _batch_id: int, platform: str = platform) -> None:
-            jobs = payloads.flatten(payloads.parse_responses(batch, platform), platform, now)
-            done = collect.collect(jobs, store.known_ids())
-            if not done.master.isEmpty():
-                load.load(store, load.prepare(done.master, done.skills, run_ts=run_ts), run_ts=run_ts)
+        def put_aside(batch: DataFrame, batch_id: int, platform: str = platform) -> None:
+            jobs = payloads.flatten(payloads.parse_responses(batch, platform, on_broken=on_broken), platform, now)
+            jobs.write.mode("overwrite").parquet(f"{base}/waiting/site={platform}/batch={batch_id}")
 
-        query = (bodies.writeStream.foreachBatch(run).trigger(availableNow=True)
-                 .option("checkpointLocation", f"{progress.rstrip('/')}/{platform}").start())
+        query = (bodies.writeStream.foreachBatch(put_aside).trigger(availableNow=True)
+                 .option("checkpointLocation", f"{base}/{platform}").start())
         query.awaitTermination()
+    marks = TableStore(spark, f"{base}/loaded", {"batches": T.StructType([T.StructField("path", T.StringType())])})
+    before = {r["path"] for r in marks.read("batches").collect()}  # a row per micro-batch
+    new = [p for site in landed for p in batches(spark, f"{base}/waiting/site={site}") if p not in before]
+    if not new:
+        return
+    done = collect.collect(spark.read.schema(schemas.POSTING_RAW).parquet(*new), store.known_ids(), details=details)
+    if not done.master.isEmpty():
+        load.load(store, load.prepare(done.master, done.skills, run_ts=run_ts), run_ts=run_ts)
+    marks.append("batches", spark.createDataFrame([(p,) for p in new], "path string"))

@@ -69,3 +69,21 @@ def test_links(spark):
         links.url_id(F.col("a")) == F.md5(F.lit("https://a/b")), links.rewrite_locale(F.col("b")),
         links.card_id(F.lit(None)) == F.md5(F.lit("None"))).first()
     assert list(row) == [True, "https://careerviet.vn/vi/j", True]
+
+
+def test_impossible_dates_are_null(spark):
+    rows = [(t,) for t in ("999999999 days ago", "999999999 weeks ago", "999999999 years ago", "2000000000 hours ago",
+                           "99999999999999 minutes ago", "20260231", "123", "-1700000000", "12345678901", "")]
+    run = F.lit("2026-02-10 02:00:00").cast("timestamp")
+    df = spark.createDataFrame(rows, "t string")
+    got = df.select(dates.posting_timestamp(F.col("t"), F.lit("x"), run).alias("d")).collect()
+    assert [r.d for r in got] == [None] * len(rows)
+    aged = df.select(dates.age_to_date(F.col("t"), run).alias("d")).collect()
+    assert {str(r.d) for r in aged} == {"2026-02-10"}
+
+
+def test_digits_only_dates(spark):
+    run = F.lit("2026-02-10 02:00:00").cast("timestamp")
+    df = spark.createDataFrame([("20260203",), ("1700000000",), ("1700000000000",), ("1700000000.5",)], "t string")
+    got = [str(r.d) for r in df.select(dates.local_date(dates.posting_timestamp(F.col("t"), F.lit("x"), run)).alias("d")).collect()]
+    assert got == ["2026-02-03", "2023-11-15", "2023-11-15", "2023-11-15"]

@@ -119,7 +119,6 @@ def test_near_duplicates_match_brute_force(spark, seed, size):
 def test_near_duplicates_with_split_lists(spark, monkeypatch):
     monkeypatch.setattr(neardup, "LIST_SPLIT", 7)
     monkeypatch.setattr(neardup, "GRID_SPLIT", 5)
-    monkeypatch.setattr(neardup, "BROADCAST_ROWS", 0)
     texts = made_up(5, 200)
     assert kept(spark, texts) == brute_force(texts)[0]
 
@@ -166,7 +165,7 @@ def test_union_sites(spark):
     other = spark.createDataFrame([("2", "u", "z")], "id string, name string, extra string")
     bad = spark.createDataFrame([("3",)], "id string")
     columns = {"one": ["jobId", "title"], "other": ["id", "name"]}
-    got = unify.union_sites([("one", one), ("new", other), ("new", bad)], columns=columns)
+    got = unify.union_sites([("one", one), ("new", other), ("new", bad)], columns=columns, on_missing="skip")
     assert sorted(map(tuple, got.collect())) == [("1", "t", "one"), ("2", "u", "new")]
     with pytest.raises(ValueError):
         unify.union_sites([("new", bad)], columns=columns, on_missing="raise")
@@ -254,3 +253,36 @@ def test_metrics(spark):
     assert seen.filter("id > 1").count() == 2 and observed.get["rows"] == 3
     assert metrics.null_counts(df, ["v"]).first().asDict() == {"n_rows": 3, "v_nulls": 1}
     assert [tuple(r) for r in metrics.value_counts(df.dropna(), "v").collect()] == [("a", 2)]
+
+
+def test_replies_keep_the_row_count(spark):
+    requests = spark.createDataFrame([(1, "a", "t"), (1, "b", "t"), (2, "c", "t"), (3, "d", "t")],
+                                     "batch_id int, job_id string, job_title string")
+    reply = lambda rows: spark.createDataFrame(rows, "batch_id int, job_id string, job_label string")
+    twice = reply([(1, "a", "x"), (1, "a", "y"), (2, "c", "z"), (2, "c", "z"), (3, "d", "w"), (3, "other", "w"), (9, "q", "w")])
+    good = labelling.complete_batches(requests, twice)
+    assert [tuple(r) for r in good.collect()] == [(2, "c", "z")]
+    sent = []
+
+    def first(df):
+        sent.append(sorted(r.job_id for r in df.collect()))
+        return twice
+
+    def second(df):
+        sent.append(sorted(r.job_id for r in df.collect()))
+        return df.filter("batch_id = 1").selectExpr("batch_id", "job_id", "'second' as job_label")
+
+    got = labelling.label_with_fallbacks(requests, [first, second], failed="none").collect()
+    assert sorted((r.job_id, r.job_label) for r in got) == [("a", "second"), ("b", "second"), ("c", "z"), ("d", "none")]
+    assert sent == [["a", "b", "c", "d"], ["a", "b", "d"]]
+    unknown = labelling.label_with_fallbacks(requests, [lambda df: twice], failed="none", labels=["x"])
+    assert {r.job_label for r in unknown.collect()} == {"none"}
+
+
+def test_repeated_dimension_value_raises(spark):
+    from jobstrata.operators import lookups
+
+    dim = spark.createDataFrame([("a", 1), ("a", 2), (None, 3), (None, 4)], "name string, id int")
+    rows = spark.createDataFrame([("a",)], "v string")
+    with pytest.raises(ValueError, match="more than once"):
+        lookups.attach_key(rows, dim, value="v", dim_value="name", surrogate="id")

@@ -63,10 +63,11 @@ def raw(spark, tmp_path_factory):
         folder.mkdir()
         lines = [json.dumps({"page_no": 1, "data": jobs}, ensure_ascii=False), "[]", '{"page_no": 2}', "broken"]
         (folder / "1.json").write_text("\n".join(lines), encoding="utf-8")
-        parts.append(payloads.read_platform(spark, str(folder), platform, F.lit(RUN).cast("timestamp")))
+        parts.append(payloads.read_platform(spark, str(folder), platform, F.lit(RUN).cast("timestamp"),
+                                            on_broken="skip"))
     listing = spark.createDataFrame([("job123", 1, JOB123), ("careerjet", 1, CAREERJET), ("studentjob", 1, STUDENTJOB),
                                      ("unknown", 1, JOB123)], "platform string, page_no bigint, html string")
-    cards = pages.cards_to_postings(pages.find_cards(listing))
+    cards = pages.cards_to_postings(pages.find_cards(listing, on_unknown="skip"))
     return [*parts, cards]
 
 
@@ -105,7 +106,7 @@ def test_html_corner_cases():
 def details(spark):
     rows = [("studentjob", "s1", 200, STUDENT_DETAIL), ("job123", "j1", 200, DETAIL_123), ("job123", "j2", 404, None),
             ("job123", "j3", 500, None), ("job123", "j4", None, None), ("nowhere", "n", 200, "x")]
-    return pages.fetched_details(spark.createDataFrame(rows, "platform string, job_id string, status int, html string"))
+    return pages.fetched_details(spark.createDataFrame(rows, "platform string, job_id string, status int, html string"), on_unknown="skip")
 
 
 def test_details(spark):
@@ -199,10 +200,12 @@ def test_store_ignores_unfinished_writes(spark, tmp_path):
 
 def test_requests(spark):
     words = spark.createDataFrame([("data analyst",), ("sql",)], "keyword string")
-    got = request_list(words)
-    assert got.count() == 2 * (3 * 1 + 10 + 3 * 20)
-    one = got.filter("platform = 'topdev' and page_num = 3 and keyword = 'sql'").first()
-    assert one.params["keyword"] == "sql" and one.params["page"] == "3" and one.url.endswith("/search/v2")
+    templates = {"one": ("https://one.example/find", {"q": "{keyword}", "page": "{page_num}"}, 10),
+                 "two": ("https://two.example/jobs", {"s": "{keyword}"}, 1)}
+    got = request_list(words, templates)
+    assert got.count() == 2 * (10 + 1)
+    one = got.filter("platform = 'one' and page_num = 3 and keyword = 'sql'").first()
+    assert one.params == {"q": "sql", "page": "3"} and one.url == "https://one.example/find"
 
 
 def test_new_files_are_loaded_once(spark, tmp_path):
@@ -223,3 +226,69 @@ def test_new_files_are_loaded_once(spark, tmp_path):
     land("2.json", "second", "Senior SQL Developer")
     load_new_payloads(spark, {"careerviet": str(landed)}, store, str(tmp_path / "progress"), run_ts=RUN)
     assert {r.job_id for r in store.read("fact_job_postings").collect()} == {"first", "second"}
+
+
+def test_sites_loaded_together_or_at_once_agree(spark, tmp_path):
+    from jobstrata.plans import collect, load
+    from jobstrata.streaming.incremental import load_new_payloads
+
+    job = {"job_id": "a", "job_title": "Data Engineer", "date_view": "2026-02-03", "emp_name": "Acme Data",
+           "location_name": "Hà Nội", "job_link": "https://careerviet.vn/en/a"}
+    other = {"jobId": 7, "jobTitle": "Data Engineer", "createdOn": "2026-02-03", "companyName": "Acme Data",
+             "jobUrl": "https://v.example/7", "skills": [], "workingLocations": []}
+    landed = {}
+    for site, one in (("careerviet", job), ("vietnamworks", other)):
+        (tmp_path / site).mkdir()
+        (tmp_path / site / "1.json").write_text(json.dumps({"page_no": 1, "data": [one]}, ensure_ascii=False), encoding="utf-8")
+        landed[site] = str(tmp_path / site)
+    step, whole = (TableStore(spark, str(tmp_path / n)) for n in ("step", "whole"))
+    load_new_payloads(spark, landed, step, str(tmp_path / "progress"), run_ts=RUN)
+    now = F.lit(RUN).cast("timestamp")
+    raw = payloads.read_platform(spark, landed["careerviet"], "careerviet", now).unionByName(
+        payloads.read_platform(spark, landed["vietnamworks"], "vietnamworks", now))
+    done = collect.collect(raw, whole.known_ids())
+    load.load(whole, load.prepare(done.master, done.skills, run_ts=RUN), run_ts=RUN)
+    got, want = ({r.job_id for r in s.read("fact_job_postings").collect()} for s in (step, whole))
+    assert got == want == {"a"}
+
+
+def test_broken_bodies_are_counted_not_lost(spark, tmp_path):
+    one = {"data": [{"job_id": "1", "job_title": "t"}]}
+    bodies, lines = tmp_path / "bodies", tmp_path / "lines"
+    bodies.mkdir(), lines.mkdir()
+    (bodies / "a.json").write_text(json.dumps(one, indent=2))
+    (bodies / "b.json").write_text(json.dumps(one)[:20])
+    (lines / "a.json").write_text(json.dumps(one) + "\n" + json.dumps(one)[:20] + "\n")
+    for folder, layout in ((bodies, "bodies"), (lines, "lines")):
+        read = payloads.read_bodies(spark, str(folder), "careerviet", layout)
+        assert [r.n_broken for r in payloads.broken_bodies(read).collect()] == [1]
+        assert payloads.read_responses(spark, str(folder), "careerviet", layout, on_broken="skip").count() == 1
+        with pytest.raises(Exception, match="unreadable response"):
+            payloads.read_responses(spark, str(folder), "careerviet", layout).collect()
+
+
+def test_one_detail_per_posting(spark):
+    from jobstrata.operators.unify import first_detail
+
+    rows = [("s", "1", "b", 2), ("s", "1", "a", 3), ("s", "1", "c", None), ("t", "1", "z", None), ("t", "1", "y", None)]
+    got = first_detail(spark.createDataFrame(rows, "platform string, job_id string, job_desc string, fetched_at int"))
+    assert sorted(tuple(r) for r in got.collect()) == [("s", "1", "b"), ("t", "1", "y")]
+
+
+def test_pages_of_unknown_sites(spark):
+    listing = spark.createDataFrame([("nowhere", 1, "<p>")], "platform string, page_no long, html string")
+    assert pages.unknown_sites(listing, {}).first().n_pages == 1
+    assert pages.find_cards(listing, on_unknown="skip").count() == 0
+    with pytest.raises(Exception, match="no settings"):
+        pages.find_cards(listing).collect()
+
+
+def test_markup_that_is_never_closed():
+    from jobstrata.sources import html
+
+    deep = html.parse("<li><b>" * 3000 + "x")
+    assert deep.text() == "x" and len(deep.find_all("li")) == 3000
+    flat = html.parse("<ul><li>a<li>b<li>c</ul><table><tr><td>d<td>e<tr><td>f</table>")
+    assert [e.text() for e in flat.find_all("li")] == ["a", "b", "c"]
+    assert [e.text() for e in flat.find_all("tr")] == ["de", "f"]
+    assert html.parse("<p>x<script>var a = 1;</script><style>p{}</style>y</p>").text() == "xy"
