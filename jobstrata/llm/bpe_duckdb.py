@@ -29,9 +29,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHE_WORDS = 500_000
+CACHE_WORDS = 300_000
 _PIECE = 1 << 20
-_GROUP = 12 << 20  # characters encoded together
+_GROUP = 4 << 20  # characters encoded together
 _NEW_BYTES = 1 << 20  # of new words in one recursion
 
 # spaces that may belong to a run of white space, and spaces that begin a word
@@ -108,7 +108,7 @@ class Bpe:
         self.split = regex.compile(pattern).findall
         table = merge_rows(self.ranks)
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
-        self.db = duckdb.connect(":memory:", config={"threads": "1", "memory_limit": "400MB", "temp_directory": ""})
+        self.db = duckdb.connect(":memory:", config={"threads": "1", "memory_limit": "300MB", "temp_directory": ""})
         self._register("merges_in", {"l": table[:, 0], "r": table[:, 1], "id": table[:, 2]})
         self.db.execute("CREATE TABLE merges AS SELECT *, (l::BIGINT << 32) | r AS pair FROM merges_in")
         # pairs that rank before their right or left half was made
