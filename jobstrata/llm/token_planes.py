@@ -74,10 +74,14 @@ class Encoder:
         parts = {}
         for word in words:
             stem = word.rstrip(_MARKS)
-            if 0 < len(stem) < len(word) and _stays_letter(stem[-1]):
-                parts[word] = (stem, word[len(stem):])
-        ask = ({w for w in words if w not in parts} | {p for pair in parts.values() for p in pair}).difference(self.known)
-        ask = list(ask)
+            if not (0 < len(stem) < len(word) and _stays_letter(stem[-1])):
+                stem = word
+            key = stem.lower() if stem.isascii() else stem  # the vocabulary knows lower case only
+            if key != word:
+                parts[word] = (key, word[len(stem):])
+        ask = {w for w in words if w not in parts}
+        ask.update(p for pair in parts.values() for p in pair)
+        ask = list(ask.difference(self.known))
         for begin in range(0, len(ask), 5000):
             some = ask[begin:begin + 5000]
             self.known.update(zip(some, self._library(some)))
