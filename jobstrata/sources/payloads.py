@@ -49,10 +49,11 @@ def read_responses(spark: SparkSession, path: str | Sequence[str], platform: str
     :func:`broken_bodies` counts them.
     """
     bodies = read_bodies(spark, path, platform, layout)
-    if on_broken == "raise":
-        fail = F.raise_error(F.concat(F.lit("unreadable response in "), F.col("file"))).cast("string")
-        bodies = bodies.filter(F.coalesce(F.when(F.col("broken").isNotNull(), fail), F.lit("")) == "")
-    return _postings(bodies.filter(F.col("broken").isNull()).select("page_no", "data"))
+    broken = F.col("broken").isNotNull()
+    if on_broken == "raise":  # part of the value, so that no filter can run before it
+        fail = F.raise_error(F.concat(F.lit("unreadable response in "), F.col("file")))
+        return _postings(bodies.select("page_no", F.when(broken, fail).otherwise(F.col("data")).alias("data")))
+    return _postings(bodies.filter(~broken).select("page_no", "data"))
 
 
 def parse_responses(bodies: DataFrame, platform: str, body: str = "body", on_broken: str = "raise") -> DataFrame:
