@@ -1,0 +1,225 @@
+"""Near copies by exact overlap of word shingles: every pair with a Jaccard similarity of at least ``LEAST`` is linked.
+
+1. A text's set holds the hashes of its ``SHINGLE``-word sequences; equal sets collapse to one node before anything else.
+2. Prefix filter: in one order of all shingles, two sets of similarity t share a member among the first
+   ``n - ceil(t n) + 1`` of each. Shingles that are frequent in a sample stand last in that order, so shared boilerplate
+   rarely makes candidates; the sample decides only the order, never whether a pair is found.
+3. Members of a bucket (sets with a shingle in common at their beginning) that are not yet of one class are compared: first
+   with the bucket's smallest member, then, in buckets that still hold several classes, all pairs across the classes. A
+   group of copies so costs work linear in its size. Sizes and positions rule out pairs that cannot reach the threshold.
+4. The sets of candidate pairs are compared whole; classes of the links that hold (``components``).
+
+``one_of_each`` adds these links to those of the fingerprints (``simhash_bk``), which miss near copies that differ in more
+bits than their radius.
+
+Defined results: words are lower-cased (ASCII) and separated by white space; texts of fewer than ``SHINGLE`` words have the
+hash of the whole sequence as their only member; texts without a word are one group. Members are compared by 64-bit hashes.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
+
+from jobstrata.llm import simhash_bk
+from jobstrata.llm.components import classes
+from jobstrata.llm.text import mix, span_hashes
+from jobstrata.session import materialise
+
+SHINGLE = 5
+LEAST = (4, 5)  # of the similarity, as a fraction
+SAMPLE_ROWS = 8_000
+COMMON = 500_000
+_FACTORS = mix(np.arange(1, SHINGLE + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+_SPACE = np.zeros(256, bool)
+_SPACE[[32, *range(9, 14)]] = True
+_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+
+
+def shingles(text: str | None) -> np.ndarray:
+    """The sorted distinct hashes of the shingles."""
+    raw = np.frombuffer((text or "").encode("utf-8", "replace").translate(_LOWER), np.uint8)
+    inside = np.concatenate([[False], ~_SPACE[raw], [False]])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    h = span_hashes(raw, edges[::2], edges[1::2])
+    if not len(h):
+        return h
+    width = min(SHINGLE, len(h))
+    with np.errstate(over="ignore"):
+        out = np.full(len(h) - width + 1, np.uint64(width))
+        for k in range(width):
+            out += h[k:k + len(out)] * _FACTORS[k]
+    return np.unique(mix(out))
+
+
+def set_key(members: np.ndarray) -> int:
+    return simhash_bk._signed(xxhash.xxh64_intdigest(members.tobytes(), simhash_bk.SEED))
+
+
+def prefix_length(n: int) -> int:
+    return n - -(-LEAST[0] * n // LEAST[1]) + 1 if n else 0
+
+
+def alike(a: np.ndarray, b: np.ndarray) -> bool:
+    common = len(a) + len(b) - len(np.union1d(a, b))
+    return common * sum(LEAST) >= LEAST[0] * (len(a) + len(b))
+
+
+def common_shingles(docs: DataFrame, text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles found more than once in a sample of the texts, sorted, and how often; bounded in number."""
+    n = docs.count()
+    some = docs.select(F.col(text).alias("_text"))
+    if n > SAMPLE_ROWS:
+        some = some.where(F.rand(simhash_bk.SEED) < SAMPLE_ROWS / n)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for t in batch["_text"].to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(shingles(t).view(np.int64))], ["t"])
+
+    rows = (some.mapInArrow(run, "t long").groupBy("t").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+            .orderBy(F.desc("n"), "t").limit(COMMON).toArrow())
+    keys, counts = (rows[c].to_numpy() for c in ("t", "n"))
+    keys = keys.astype(np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    return keys[order], counts[order].astype(np.int64)
+
+
+def in_order(members: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Rare ones first."""
+    often = np.zeros(len(members), np.int64)
+    if len(keys):
+        at = np.minimum(np.searchsorted(keys, members), len(keys) - 1)
+        often = np.where(keys[at] == members, counts[at], 0)
+    return members[np.lexsort((members, often))]
+
+
+def marks(docs: DataFrame, text: str, id: str) -> DataFrame:
+    """``id, fp, s, n, prefix``: fingerprint, key and size of the set, and its first members."""
+    held = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, text))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: tuple[list, ...] = ([], [], [], [])
+            for t in batch["_text"].to_pylist():
+                members = shingles(t)
+                first = in_order(members, *held.value)[:prefix_length(len(members))]
+                for o, x in zip(out, (simhash_bk._signed(simhash_bk.fingerprint(t)), set_key(members), len(members),
+                                      first.view(np.int64))):
+                    o.append(x)
+            yield pa.RecordBatch.from_arrays(
+                [batch[id], *[pa.array(o, k) for o, k in zip(out, (pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64())))]],
+                [id, "fp", "s", "n", "prefix"])
+
+    ordered = docs.select(F.col(text).alias("_text"), F.col(f"`{id}`"))
+    schema = ordered.drop("_text").schema.add("fp", "long").add("s", "long").add("n", "integer").add("prefix", ArrayType(LongType()))
+    return ordered.mapInArrow(run, schema)
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by ``t``, those whose ``t`` occurs again."""
+    last, again = None, False  # the last row so far, and whether the row before it had the same t
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = pa.Table.from_batches([batch] if last is None else [last, batch]).combine_chunks()
+        t = rows["t"].to_numpy()
+        same = t[1:] == t[:-1]
+        keep = np.concatenate([[again], same]) | np.concatenate([same, [False]])
+        again = bool(keep[-1])
+        last = rows.slice(len(t) - 1).combine_chunks().to_batches()[0]
+        yield from rows.slice(0, len(t) - 1).filter(pa.array(keep[:-1])).to_batches()
+    if last is not None and again:
+        yield last
+
+
+def buckets(marked: DataFrame) -> DataFrame:
+    """``t, s, n, pos``: sets with a shingle in common at their beginnings."""
+    rows = marked.select("s", "n", "prefix").dropDuplicates(["s"]).select("s", "n", F.posexplode("prefix").alias("pos", "t"))
+    rows = rows.select("t", "s", "n", "pos").repartition("t").sortWithinPartitions("t")
+    return materialise(rows.mapInArrow(_shared, rows.schema), "shingle_buckets")
+
+
+def _reachable(a: str, b: str) -> Column:
+    """Whether two sets that meet at these positions can have enough in common."""
+    n = lambda x: F.col(f"{x}.n").cast("long")
+    rest = F.least(n(a) - F.col(f"{a}.pos"), n(b) - F.col(f"{b}.pos"))
+    # what stands before the place of meeting may be shared as well, but then an earlier bucket holds the pair
+    return rest * sum(LEAST) >= (n(a) + n(b)) * LEAST[0]
+
+
+def _compared(pairs: DataFrame, marked: DataFrame, docs: DataFrame, text: str, id: str) -> DataFrame:
+    """The pairs ``a, b`` whose sets are alike."""
+    needed = pairs.select(F.col("a").alias("s")).unionByName(pairs.select(F.col("b").alias("s"))).distinct()
+    first = marked.select(id, "s").groupBy("s").agg(F.min(F.struct(F.col(id).alias("id"))).alias("x"))
+    picked = materialise(first.join(needed, "s", "left_semi").select(F.col("x.id").alias("_id"), F.col("s").alias("_s")), "picked")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingles(t) for t in batch["_text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([set_key(f) for f in found], pa.int64()), pa.array([f.tobytes() for f in found], pa.binary())], ["s", "v"])
+
+    rows = docs.select(F.col(text).alias("_text"), F.col(f"`{id}`").alias("_id"))
+    rows = rows.join(picked.select("_id").distinct().withColumnRenamed("_id", "_want"), F.col("_id").eqNullSafe(F.col("_want")), "left_semi")
+    sets = materialise(rows.select("_text").mapInArrow(run, "s long, v binary").dropDuplicates(["s"]), "shingle_sets")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [alike(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64))
+                    for x, y in zip(batch["v"].to_pylist(), batch["w"].to_pylist())]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    both = pairs.join(sets.select(F.col("s").alias("a"), "v"), "a").join(sets.select(F.col("s").alias("b"), F.col("v").alias("w")), "b")
+    return materialise(both.select("a", "b", "v", "w").mapInArrow(compare, "a long, b long"), "alike")
+
+
+def links(marked: DataFrame, edges: DataFrame, docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
+    """``node, root``: classes of the sets under ``edges`` and all pairs that are alike."""
+    held = buckets(marked)
+    now, seen = classes(edges), None
+    for heads_only in (True, False):
+        rooted = materialise(held.join(now.withColumnRenamed("node", "s"), "s", "left").select(
+            "t", F.struct(F.coalesce("root", "s").alias("root"), "s", "n", "pos").alias("x")), "rooted_buckets")
+        mixed = materialise(rooted.groupBy("t").agg(F.min("x.root").alias("low"), F.max("x.root").alias("high"), F.min(
+            F.struct("x.s", "x.n", "x.pos", "x.root")).alias("y")).where("low <> high").select("t", "y"), "mixed_buckets")
+        if heads_only:
+            pairs = rooted.join(mixed, "t").where("x.root <> y.root")
+        else:
+            some = rooted.join(mixed.select("t"), "t", "left_semi")
+            pairs = some.join(some.withColumnRenamed("x", "y"), "t").where("x.root < y.root")
+        pairs = pairs.where(_reachable("x", "y")).select(
+            F.greatest("x.s", "y.s").alias("a"), F.least("x.s", "y.s").alias("b")).distinct()
+        pairs = materialise(pairs.join(seen, ["a", "b"], "left_anti") if seen is not None else pairs, "candidates")
+        seen = pairs
+        if pairs.isEmpty():
+            continue
+        now = classes(now.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(
+            _compared(pairs, marked, docs, text, id)))
+    return now
+
+
+def one_of_each(docs: DataFrame, text: str = "text", id: str = "doc_id", radius: int = simhash_bk.RADIUS) -> DataFrame:
+    """One row of every class of near copies, by fingerprint or by shingles: that of its smallest id; of several rows with
+    that id, that of the smallest fingerprint."""
+    marked = materialise(marks(docs, text, id), "marks")
+    by_print = simhash_bk._classes_of(marked, id, radius).select("fp", F.col("root").alias("group"))
+    nodes = materialise(marked.select("fp", "s").distinct().join(by_print, "fp").select("group", "s").distinct(), "nodes")
+    heads = nodes.groupBy("group").agg(F.min("s").alias("b"))
+    edges = nodes.join(heads, "group").where("s <> b").select(F.col("s").alias("a"), "b")
+    root = links(marked, edges, docs, text, id)
+    named = marked.select(id, "fp", "s").join(root.withColumnRenamed("node", "s"), "s", "left")
+    best = F.min(F.struct(F.col(id).isNull().alias("none"), F.col(id).alias("id"), F.col("fp").alias("fp")))
+    first = materialise(named.groupBy(F.coalesce("root", "s").alias("root")).agg(best.alias("x")).select(
+        F.col("x.id").alias("_id"), F.col("x.fp").alias("_fp")), "kept_rows")
+    if marked.groupBy(id).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        return docs.join(first, F.col(f"`{id}`").eqNullSafe(F.col("_id")), "left_semi")
+    again = simhash_bk.fingerprints(docs.withColumn("_text", F.col(text)), "_text")  # ids repeat: tell rows apart by fingerprint
+    kept = again.join(first, F.col(f"`{id}`").eqNullSafe(F.col("_id")) & (F.col("fp") == F.col("_fp")), "left_semi")
+    return kept.dropDuplicates([id, "fp"]).select(*docs.columns)

@@ -1,0 +1,82 @@
+import random
+
+import pyarrow as pa
+from helpers import DOC_SCHEMA, awkward_documents, empty_documents, prose
+
+import corpus_pipeline
+from jobstrata.llm import shingle_links, simhash_bk
+
+
+def _set(text):
+    words = (text or "").encode().lower().split()
+    return {b" ".join(words[k:k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+
+
+def _brute_kept(rows):
+    """Smallest id of every class linked by fingerprint or by five-word similarity, over all pairs."""
+    sets, prints = [_set(t) for _, t in rows], [simhash_bk.fingerprint(t) for _, t in rows]
+    root, wide = list(range(len(rows))), 0
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for k in range(len(rows)):
+        for j in range(k):
+            bits = (prints[k] ^ prints[j]).bit_count()
+            alike = 5 * len(sets[k] & sets[j]) >= 4 * len(sets[k] | sets[j])
+            wide += alike and bits > simhash_bk.RADIUS
+            if alike or bits <= simhash_bk.RADIUS:
+                a, b = find(k), find(j)
+                root[max(a, b)] = min(a, b)
+    kept = {}
+    for k, (i, _) in enumerate(rows):
+        kept[find(k)] = min(kept.get(find(k), i), i)
+    return sorted(kept.values()), wide
+
+
+def _near_copies():
+    dice, rows = random.Random(8), []
+    shared = prose(40, 77)
+    for k in range(60):
+        words = prose(dice.choice((6, 30, 90, 200)), k % 12).split()
+        for _ in range(dice.choice((0, 1, 2, 3, 6))):
+            words[dice.randrange(len(words))] = f"new{k}"
+        cut = words[:len(words) - dice.randint(0, len(words) // 8)]
+        rows.append((100 + k, " ".join(cut) + (" " + shared if k % 7 == 0 else ""), "en", "a", 1))
+    return rows + [(300 + k, shared + " " + prose(3, 500 + k), "en", "a", 1) for k in range(20)]
+
+
+def test_pipeline_stage_agrees_with_brute_force(spark):
+    rows = _near_copies()
+    want, wide = _brute_kept([r[:2] for r in rows])
+    assert wide > 20  # near copies that fingerprints within three bits do not link
+    kept = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, DOC_SCHEMA), "")
+    assert sorted(r.doc_id for r in kept.collect()) == want
+
+
+def test_the_order_of_shingles_loses_no_pair(spark, monkeypatch):
+    rows = _near_copies()
+    monkeypatch.setattr(shingle_links, "SAMPLE_ROWS", 10)
+    monkeypatch.setattr(shingle_links, "COMMON", 20)
+    kept = shingle_links.one_of_each(spark.createDataFrame(rows, DOC_SCHEMA))
+    assert sorted(r.doc_id for r in kept.collect()) == _brute_kept([r[:2] for r in rows])[0]
+
+
+def test_awkward_rows(spark):
+    docs = awkward_documents(spark)
+    kept = shingle_links.one_of_each(docs)
+    assert kept.columns == docs.columns
+    ids = [r.doc_id for r in kept.collect()]
+    assert ids.count(1) == 1 and 2 not in ids and 10 not in ids and None in ids
+    assert [i for i in (3, 4, 5) if i in ids] == [3] and {6, 7, 8, 9} <= set(ids)
+    assert shingle_links.one_of_each(empty_documents(spark)).count() == 0
+
+
+def test_rows_whose_shingle_occurs_again():
+    t = [1, 2, 2, 3, 4, 4, 4, 5, 6, 6]
+    want = [2, 2, 4, 4, 4, 6, 6]
+    for size in (1, 2, 3, 10):
+        parts = [pa.RecordBatch.from_pydict({"t": t[k:k + size]}) for k in range(0, len(t), size)]
+        assert [x for b in shingle_links._shared(iter(parts)) for x in b["t"].to_pylist()] == want
