@@ -1,7 +1,9 @@
 """Secret scan: candidates by pattern, false positives removed by a random forest.
 
-A candidate is a run of at least ``MIN_LENGTH`` letters, digits and ``+/_-`` that holds a digit or begins with sixteen
-capitals or digits, or a shorter run right behind a key word and ``=`` or ``:``. Splitting a text at its candidates gives
+A candidate is a run of at least ``MIN_LENGTH`` letters, digits and ``+/_-`` that holds a digit, begins with sixteen
+capitals or digits or with a vendor's prefix; a whole private key block (PEM) or web token (JWT); the password of a URL;
+what follows ``Bearer``; or a value of at least four characters assigned to a name with a key word in it, up to the closing
+quote or else the next blank. Splitting a text at its candidates gives
 what stands before and after each, so finding, judging and redacting take one pass without regrouping.
 
 The forest sees the length, changes of character kind, shares of digits and capitals, the share of the candidate that
@@ -28,27 +30,47 @@ from jobstrata.session import materialise
 MIN_LENGTH = 12
 CONTEXT = 60
 REPLACEMENT = "<SECRET>"
-KEYS = "password|passwd|pwd|secret|token|api_?key|apikey|access_?key|auth|credential"
-CANDIDATE = (r"(?<![A-Za-z0-9+/_\-])(?:(?=[A-Za-z+/_\-]*[0-9]|[A-Z0-9]{16})[A-Za-z0-9+/_\-]{%d,}"
-             r"|(?<=(?i:passwd|password|pwd|secret|token|apikey)[:=]\"?)[A-Za-z0-9+/_\-]{6,})" % MIN_LENGTH)
-_KEYED = rf"(?i)(?:{KEYS})[\"']?\s*(?:=>|:=|[:=])\s*[\"']?$"
+KEYS = "password|passphrase|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|auth|credential"
+_NAME = rf"(?i:{KEYS})s?(?:(?:[_.\-]|(?<=[a-z])[A-Z])[A-Za-z0-9_.\-]{{0,24}})?"  # also password_hash, secretKey, SECRET_KEY
+_SIGN = r"[\"']?[ \t]{0,4}(?:=>|:=|[:=])[ \t]{0,4}"
+_PEM = (r"-----BEGIN (?:[A-Z0-9]+ ){0,4}PRIVATE KEY(?: BLOCK)?-----(?:[^-]*+(?:-(?!----)[^-]*+){0,40}+"
+        r"-----END (?:[A-Z0-9]+ ){0,4}PRIVATE KEY(?: BLOCK)?-----|(?:(?:\s|\\[nr]){0,4}[A-Za-z0-9+/=]{40,}+){0,400}+)")
+_JWT = r"eyJ[A-Za-z0-9_\-]{6,}\.[A-Za-z0-9_\-]{6,}\.[A-Za-z0-9_\-]*"
+_MAIL = r"SG\.[A-Za-z0-9_\-]{16,}\.[A-Za-z0-9_\-]{16,}"
+_PREFIX = r"AIza|[rs]k_(?:live|test)_|whsec_|gh[pousr]_|github_pat_|xox[abprs]-|glpat-|npm_|pypi-|hf_|shp(?:at|ss|ca|pa)_|dop_v1_"
+_IN_URL = r"://[^\s/?#@:\"'<>]{0,64}:"
+_BEARER = r"\b(?:[Bb]earer|BEARER|(?i:authorization)[\"']?[ \t]{0,2}[:=][ \t]{0,2}[\"']?(?i:basic|token))[ \t]{1,4}"
+CANDIDATE = (rf"{_PEM}|(?<![A-Za-z0-9+/_\-])(?:{_JWT}|{_MAIL})"
+             rf"|(?<=:)(?<={_IN_URL})[^\s/?#\"'<>]{{1,256}}(?=@[A-Za-z0-9\[])"
+             # the short look-behinds only spare the long ones most places
+             rf"|(?<=[\"'])(?<=[:=>][ \t]{{0,4}}.)(?<={_NAME}{_SIGN}.)(?:(?<=\")[^\"\r\n]{{4,512}}(?=\")|(?<=')[^'\r\n]{{4,512}}(?='))"
+             rf"|(?<=[:=> \t\"'])(?<=[:=>][ \t]{{0,4}}[\"']?)(?<={_NAME}{_SIGN}[\"']?)(?!(?i:bearer|basic)[ \t])[^\s\"'`,;<>(){{}}\[\]]{{4,512}}"
+             rf"|(?<=[ \t])(?<={_BEARER})(?=[A-Za-z._~+/\-]*[0-9])[A-Za-z0-9._~+/\-]{{8,}}=*"
+             rf"|(?<![A-Za-z0-9+/_\-])(?=[A-Za-z+/_\-]*[0-9]|[A-Z0-9]{{16}}|{_PREFIX})[A-Za-z0-9+/_\-]{{{MIN_LENGTH},}}")
+_KEYED = rf"{_NAME}{_SIGN}[\"']?$"
+_PLAIN = rf"{_NAME}(?:[\"']?[ \t]{{0,4}}(?:=>|:=|[:=])[ \t]{{0,4}}[\"']|=)$"  # in quotes, or right behind the sign
+_SENT = rf"(?:{_IN_URL}|{_BEARER})$"
+_WORD = r"^(?i:none|null|nil|true|false|required|optional|string|text|basic|bearer|undefined|[$%{<].*)$"
 _NEAR = rf"(?i)\b(?:{KEYS})\b"
 _SET = r"(?:=>|:=|[:=])\s*[\"']?$"
 _SAMPLE = r"(?i)example|sample|dummy|placeholder|changeme|your[_-]|xxxx|test|fake"
 _PATH = r"(?i)(?:^|[/._-])(?:tests?|examples?|samples?|fixtures?|docs?|vendor|lock)(?:[/._-]|$)"
 _CHANGE = (r"(?<=[0-9])(?=[A-Za-z])|(?<=[A-Za-z])(?=[0-9])|(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[a-z])|"
            r"(?<=[A-Za-z0-9])(?=[+/_\-])|(?<=[+/_\-])(?=[A-Za-z0-9])")
-_VENDOR = r"^(?:AKIA[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}|sk-[A-Za-z0-9-]{20,}|glpat-.{20,})$"
+_VENDOR = (r"^(?:A[KS]IA[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|github_pat_[A-Za-z0-9_]{22,}|xox[abprs]-[A-Za-z0-9-]{10,}|"
+           r"sk-[A-Za-z0-9_-]{20,}|[rs]k_(?:live|test)_[A-Za-z0-9]{16,}|whsec_[A-Za-z0-9+/]{24,}|glpat-.{20,}|AIza[A-Za-z0-9_-]{35}|"
+           r"npm_[A-Za-z0-9]{36}|pypi-[A-Za-z0-9_-]{50,}|hf_[A-Za-z0-9]{30,}|shp(?:at|ss|ca|pa)_[A-Fa-f0-9]{32}|dop_v1_[a-f0-9]{64}|"
+           rf"(?:com)?/?services/T[A-Z0-9]{{8,}}/B[A-Z0-9]{{8,}}/[A-Za-z0-9]{{20,}}|{_JWT}|{_MAIL}|-----BEGIN [\s\S]*)$")
 
 # features and their cuts
 CUTS: dict[str, list[float]] = {
-    "length": [14, 17, 19, 21, 30, 39, 41, 64],
+    "length": [],  # quantiles of the labelled findings
     "changes": [0.001, 0.06, 0.12, 0.2, 0.3, 0.4, 0.5],
     "digits": [0.001, 0.15, 0.3, 0.5, 0.7, 0.999],
     "capitals": [0.001, 0.2, 0.4, 0.6, 0.8, 0.999],
     "covered": [0.1, 0.25, 0.4, 0.55, 0.7, 0.85],
     "path": [0.5],
-    "keyed": [0.5, 1.5, 2.5],
+    "keyed": [0.5, 1.5, 2.5, 3.5, 4.5, 5.5],
     "sample": [0.5],
 }
 
@@ -92,17 +114,23 @@ def features(value: Column, before: Column, after: Column, path: Column, words:
     return {
         "length": n, "changes": share(_CHANGE), "digits": share("[0-9]"), "capitals": share("[A-Z]"),
         "covered": 1 - left / n, "path": F.coalesce(path.rlike(_PATH), F.lit(False)).cast("double"),
-        "keyed": F.when(before.rlike(_KEYED), 3.0).otherwise(near.cast("double")),
+        "keyed": (F.when(value.rlike(_VENDOR), 6.0).when(before.rlike(_SENT), 5.0).when(_assigned(value, before), 4.0)
+                  .when(before.rlike(_KEYED), 3.0).otherwise(near.cast("double"))),
         "sample": (value.rlike(_SAMPLE) | before.rlike(_SAMPLE) | after.rlike(_SAMPLE)).cast("double"),
     }
 
 
+def _assigned(value: Column, before: Column) -> Column:
+    """Whether the value of a key word is more than a word of prose: with a digit, in quotes or right behind the sign."""
+    return before.rlike(_KEYED) & (value.rlike("[0-9]") | before.rlike(_PLAIN)) & ~value.rlike(_WORD)
+
+
 def label_by_rule(found: DataFrame) -> DataFrame:
-    """Findings with ``label``: 1 for published vendor formats and for values assigned to a key word that are no
-    placeholders, 0 for all others. Stands in for labels by hand where there are none."""
-    sample = F.col("value").rlike(_SAMPLE)
-    known = F.col("value").rlike(_VENDOR) | (F.col("before").rlike(_KEYED) & F.col("value").rlike("[0-9]"))
-    return found.withColumn("label", (known & ~sample).cast("int"))
+    """Findings with ``label``: 1 for published formats, passwords in URLs, what follows ``Bearer`` and values assigned to a
+    key word that are no placeholders, 0 for all others. Stands in for labels by hand where there are none."""
+    value, before = F.col("value"), F.col("before")
+    known = value.rlike(_VENDOR) | before.rlike(_SENT) | _assigned(value, before)
+    return found.withColumn("label", (known & ~value.rlike(_SAMPLE)).cast("int"))
 
 
 # ---- forest ------------------------------------------------------------------------------------------------------
@@ -111,7 +139,7 @@ def label_by_rule(found: DataFrame) -> DataFrame:
 @dataclass
 class Split:
     feature: str
-    bin: int  # features of at least this bin go right
+    cut: float  # features above go right
     left: object
     right: object
 
@@ -119,13 +147,21 @@ class Split:
 Tree = Split | float
 
 
-def _cells(labelled: DataFrame, words: list[str], trees: int) -> DataFrame:
+def _cuts(labelled: DataFrame) -> dict[str, list[float]]:
+    """``CUTS`` with those of the length: quantiles of each label's findings, and just below them."""
+    share = [k / 10 for k in range(1, 10)]
+    rows = labelled.where(F.col("label").isin(0, 1)).groupBy("label").agg(
+        F.percentile_approx(F.length("value"), share, 10_000).alias("q")).collect()
+    return CUTS | {"length": sorted({n - d for r in rows for n in r["q"] for d in (0.5, -0.5)})}
+
+
+def _cells(labelled: DataFrame, words: list[str], trees: int, held: dict[str, list[float]]) -> DataFrame:
     """Binned features and label, with the weight of each cell in every tree."""
     cols = features(F.col("value"), F.col("before"), F.col("after"), F.col("path"), words)
     rows = labelled.where(F.col("label").isin(0, 1)).withColumns({"_" + k: v for k, v in cols.items()})
     binned = rows.select(
         "label", F.xxhash64("value", "before", "after").alias("_key"),
-        *[sum((F.when(F.col("_" + k) > c, 1).otherwise(0) for c in cuts), F.lit(0)).alias(k) for k, cuts in CUTS.items()])
+        *[sum((F.when(F.col("_" + k) > c, 1).otherwise(0) for c in cuts), F.lit(0)).alias(k) for k, cuts in held.items()])
 
     def times(t: int) -> Column:  # how often a draw with replacement takes a row: 0, 1, 2 or 3 times
         u = F.pmod(F.xxhash64("_key", F.lit(t)), F.lit(1000))
@@ -145,7 +181,8 @@ def _place(splits: dict[int, tuple[str, int]], node: int = 1) -> Column:
 
 def fit(labelled: DataFrame, words: list[str], trees: int = 11, depth: int = 4, tried: int = 4, seed: int = 1) -> list[Tree]:
     """A forest from ``value, before, after, path, label``."""
-    cells, dice = _cells(labelled, words, trees), random.Random(seed)
+    held, dice = _cuts(labelled), random.Random(seed)
+    cells = _cells(labelled, words, trees, held)
     splits: list[dict[int, tuple[str, int]]] = [{} for _ in range(trees)]
     leaves: list[dict[int, float]] = [{} for _ in range(trees)]
     for level in range(depth + 1):
@@ -178,7 +215,8 @@ def fit(labelled: DataFrame, words: list[str], trees: int = 11, depth: int = 4,
     def tree(t: int, k: int) -> Tree:
         if k not in splits[t]:
             return leaves[t].get(k, leaves[t].get(k // 2, 0.5))
-        return Split(*splits[t][k], tree(t, 2 * k), tree(t, 2 * k + 1))
+        feature, cut = splits[t][k]
+        return Split(feature, held[feature][cut - 1], tree(t, 2 * k), tree(t, 2 * k + 1))
 
     return [tree(t, 1) for t in range(trees) if leaves[t]]
 
@@ -186,7 +224,7 @@ def fit(labelled: DataFrame, words: list[str], trees: int = 11, depth: int = 4,
 def _tree_expression(tree: Tree, value) -> Column:
     if not isinstance(tree, Split):
         return F.lit(float(tree))
-    return F.when(value(tree.feature) > CUTS[tree.feature][tree.bin - 1], _tree_expression(tree.right, value)).otherwise(
+    return F.when(value(tree.feature) > tree.cut, _tree_expression(tree.right, value)).otherwise(
         _tree_expression(tree.left, value))
 
 
