@@ -50,7 +50,7 @@ def url_key(url: str | None) -> str:
     if not found:
         return ")" + _visible(url)
     host, port, path = found.groups()
-    labels = ",".join(reversed(host.lower().rstrip(".").split(".")))
+    labels = ",".join(reversed(_visible(host.lower()).rstrip(".").split(".")))
     return f"{labels}{':' + port if port else ''}){_visible(path or '/')}"
 
 
