@@ -153,6 +153,7 @@ def _pass(docs: DataFrame, items: Items, text: str) -> DataFrame:
 def benchmark_blocks(benchmark: DataFrame, block_tokens: int = BLOCK_TOKENS) -> Iterator[Items]:
     """The benchmark in parts whose expected size is bounded, whatever its own."""
     known = benchmark.where(F.col("text").isNotNull() & F.col("item_id").isNotNull()).select("item_id", "text")
+    known = materialise(known.dropDuplicates(), "benchmark")  # copies of a row would all fall in one block
     size = known.agg(F.sum(F.length("text"))).first()[0] or 0
     n = -(-size // (6 * block_tokens))
     for k in range(n):
