@@ -1,6 +1,7 @@
 """Small tables with the awkward rows every operator must take."""
 
 import random
+import re
 
 DOC_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 _WORDS = "river stone market letter winter engine garden paper window captain bread silver music doctor harbour".split()
@@ -21,5 +22,9 @@ def awkward_documents(spark, extra=()):
     return spark.createDataFrame(rows, DOC_SCHEMA)
 
 
+def tokens(text):
+    return re.findall(r"[0-9a-z\x80-\U0010ffff]+", (text or "").lower())
+
+
 def empty_documents(spark):
     return spark.createDataFrame([], DOC_SCHEMA)

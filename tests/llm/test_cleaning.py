@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from helpers import DOC_SCHEMA, awkward_documents, empty_documents, prose
+from helpers import tokens as _tokens
 from pyspark.sql import functions as F
 
 from jobstrata.llm import decontaminate, secret_forest
@@ -12,10 +13,6 @@ from jobstrata.llm import decontaminate, secret_forest
 # ---- benchmark ----
 
 
-def _tokens(text):
-    return re.findall(r"[0-9a-z\x80-\U0010ffff]+", (text or "").lower())
-
-
 def _brute(doc, item):
     """Most matching tokens of a contaminating stretch over all alignments that share a masked window."""
     a, b, best = _tokens(doc), _tokens(item), 0
@@ -54,7 +51,7 @@ def test_overlaps_agree_with_brute_force(spark):
         for r in got:
             found = {i: m for i, t in items if i is not None and (m := _brute(r.text, t))}
             assert (r.contaminated, r["items"]) == (bool(found), sorted(found))
-assert r.n_matched == max((_brute(r.text, t) for i, t in items if i is not None), default=0)
+            assert r.n_matched == max((_brute(r.text, t) for i, t in items if i is not None), default=0)
     kept = decontaminate.clean(table, bench)
     assert kept.columns == table.columns
     assert Counter(r.doc_id for r in kept.collect()) == Counter(r.doc_id for r in got if not r.contaminated)

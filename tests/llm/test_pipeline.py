@@ -5,7 +5,7 @@ import re
 from collections import Counter
 
 import pytest
-from test_cleaning import _tokens
+from helpers import tokens as _tokens
 
 import compare
 import corpus_pipeline
