@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobstrata.llm import bpe_duckdb, decontaminate, quality_rules, secret_forest, shingle_links
+from jobstrata.llm import bpe_duckdb, decontaminate, quality_rules, secret_forest, simhash_bk
 from jobstrata.session import materialise, prepare
 
 
@@ -19,9 +19,9 @@ def reject_by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group linked by fingerprints or by a similarity of their five-word shingles of 0.8."""
+    """One document of every group linked by fingerprints of 3-word shingles within 3 bits."""
     prepare(spark)
-    return shingle_links.one_of_each(docs)
+    return simhash_bk.one_of_each(docs, radius=simhash_bk.RADIUS)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
