@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,7 +56,51 @@ def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
 
     Cuts lineage like a checkpoint does, survives executor loss, and unlike a checkpoint keeps a
     columnar layout with exact file sizes, so later joins choose their strategy from real sizes.
+    Inside a ``scratch`` scope the folder lives as long as the scope.
     """
     path = new_path(df.sparkSession, name)
+    scope = _SCOPE.get()
+    if scope is not None:
+        scope.paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> bool:
+    """Delete a folder through Hadoop's file system, wherever it lies; False if it was not there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+class Scratch:
+    """The intermediate tables of one scope, and the scope around it."""
+
+    def __init__(self, outer: Scratch | None):
+        self.outer, self.paths = outer, []
+
+    def result(self, df: DataFrame, name: str = "result") -> DataFrame:
+        """Store what leaves the scope; it belongs to the scope around this one, if there is one."""
+        token = _SCOPE.set(self.outer)
+        try:
+            return materialise(df, name)
+        finally:
+            _SCOPE.reset(token)
+
+
+_SCOPE: ContextVar[Scratch | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Scratch]:
+    """A scope whose stored intermediate tables are deleted when it ends, also by an error.
+
+    Frames made inside read those tables, so only what ``result`` stored may be used afterwards.
+    """
+    scope = Scratch(_SCOPE.get())
+    token = _SCOPE.set(scope)
+    try:
+        yield scope
+    finally:
+        _SCOPE.reset(token)
+        for path in scope.paths:
+            remove(spark, path)
