@@ -14,6 +14,7 @@ from jobstrata.llm import (
     decontaminate,
     html_tree,
     labelled_pages,
+    lloyd_codes,
     quality_ftrl,
     quality_rules,
     secret_forest,
@@ -173,6 +174,58 @@ def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_forest.judge(found, forest, words).select("doc_id", "nth", "value", "score", "is_secret")
 
 
+@query
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    coded, books = lloyd_codes.code_vectors(_table(spark, folder, "embeddings").select("vec_id", "embedding", "label"))
+    return lloyd_codes.with_label_errors(coded).select(
+        "vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error",
+        F.lit(lloyd_codes.books_sha256(books)).alias("codebooks_sha256"))
+
+
+ORACLE["op11_vector_codes"] = """
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+parts AS (
+  SELECT vec_id, label, p, list_slice(v, p * (len(v) // 16) + 1, (p + 1) * (len(v) // 16)) AS x
+  FROM kept, range(16) AS t(p)),
+seeds AS (
+  SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS k FROM kept QUALIFY k < 64),
+b0 AS (SELECT p, k, x AS e FROM parts JOIN seeds USING (vec_id)),
+a0 AS (
+  SELECT vec_id, p, any_value(x) AS x, arg_min(k, d * 64 + k) AS k FROM (
+    SELECT vec_id, p, x, k, list_sum(list_transform(range(1, len(x) + 1), i -> (x[i] - e[i]) * (x[i] - e[i]))) AS d
+    FROM parts JOIN b0 USING (p)) GROUP BY vec_id, p),
+m0 AS (
+  SELECT p, k, list(m ORDER BY i) AS e FROM (
+    SELECT p, k, i, CAST(floor(sum(x[i]) / count(*)) AS BIGINT) AS m
+    FROM a0, LATERAL (SELECT unnest(range(1, len(x) + 1)) AS i) GROUP BY p, k, i) GROUP BY p, k),
+b1 AS (SELECT p, k, coalesce(m0.e, b0.e) AS e FROM b0 LEFT JOIN m0 USING (p, k)),
+a1 AS (
+  SELECT vec_id, p, any_value(x) AS x, arg_min(k, d * 64 + k) AS k FROM (
+    SELECT vec_id, p, x, k, list_sum(list_transform(range(1, len(x) + 1), i -> (x[i] - e[i]) * (x[i] - e[i]))) AS d
+    FROM parts JOIN b1 USING (p)) GROUP BY vec_id, p),
+m1 AS (
+  SELECT p, k, list(m ORDER BY i) AS e FROM (
+    SELECT p, k, i, CAST(floor(sum(x[i]) / count(*)) AS BIGINT) AS m
+    FROM a1, LATERAL (SELECT unnest(range(1, len(x) + 1)) AS i) GROUP BY p, k, i) GROUP BY p, k),
+b2 AS (SELECT p, k, coalesce(m1.e, b1.e) AS e FROM b1 LEFT JOIN m1 USING (p, k)),
+a2 AS (
+  SELECT vec_id, p, arg_min(k, d * 64 + k) AS k, min(d) AS d FROM (
+    SELECT vec_id, p, k, list_sum(list_transform(range(1, len(x) + 1), i -> (x[i] - e[i]) * (x[i] - e[i]))) AS d
+    FROM parts JOIN b2 USING (p)) GROUP BY vec_id, p),
+coded AS (
+  SELECT vec_id, string_agg(printf('%02x', k), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error
+  FROM a2 GROUP BY vec_id),
+by_label AS (
+  SELECT label, CAST(sum(error) AS BIGINT) AS label_error FROM coded JOIN kept USING (vec_id) GROUP BY label)
+SELECT vec_id, code, error, label_error, codebooks_sha256
+FROM coded JOIN kept USING (vec_id) JOIN by_label ON kept.label IS NOT DISTINCT FROM by_label.label,
+  (SELECT sha256(string_agg(array_to_string(e, ','), ',' ORDER BY p, k)) AS codebooks_sha256 FROM b2)
+"""
+
+
 @query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
