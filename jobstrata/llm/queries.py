@@ -17,6 +17,7 @@ from jobstrata.llm import (
     lloyd_codes,
     quality_ftrl,
     quality_rules,
+    radix_spans,
     secret_forest,
     simhash_bk,
     token_planes,
@@ -226,6 +227,14 @@ FROM coded JOIN kept USING (vec_id) JOIN by_label ON kept.label IS NOT DISTINCT
 """
 
 
+@query
+def op12_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = radix_spans.remove_repeats(_table(spark, folder, "documents").select("doc_id", "text"))
+    gone = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + (s["end"] - s["begin"]))
+    return cleaned.select("doc_id", (F.octet_length("kept") + gone).alias("n_bytes"), gone.alias("n_removed"),
+                          F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
