@@ -22,6 +22,7 @@ from jobstrata.llm import (
     simhash_bk,
     token_planes,
     url_lists,
+    variant_trie,
     warc_index,
 )
 from jobstrata.session import materialise, prepare
@@ -235,6 +236,12 @@ def op12_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
                           F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return variant_trie.variants(_table(spark, folder, "documents").select("doc_id", "text")).select(
+        "word", "form", "root", "n", "n_near", "form_n")
+
+
 @query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
