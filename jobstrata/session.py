@@ -17,6 +17,8 @@ SETTINGS = {
     # whole pages and long vectors pass through Python; bound what one Arrow batch may hold
     "spark.sql.execution.arrow.maxRecordsPerBatch": "4000",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
+    # the shuffle files of a query go when it ends, not when the driver happens to collect garbage
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }
 
 
