@@ -6,19 +6,20 @@ digits so far.
 
 1. First digit. Shuffling every suffix would move many times the corpus. The digit that deals suffixes out therefore is the
    gram (``gram_of(window)`` bytes) of lowest hash inside the window: equal windows have it at the same place, and neighbouring
-   windows mostly share it. A *segment* is a run of windows with one such gram. Only the gram's hash and the document are
-   shuffled; a gram that one document alone has ends here, with all its windows.
-2. Further digits. The segments of the grams that are left are dealt out by gram. Each task collapses equal segments and
-   sorts the windows of the others through ``window`` bytes in passes of eight bytes, going on only inside groups that
-   still hold several suffixes. Every group knows the earliest document it occurs in.
-3. A gram with very many segments (a passage of a large part of all documents) is not one task's work: its segments are
-   aggregated by content, then their windows, with partial aggregates on every task.
+   windows mostly share it. A *segment* is a run of windows with one such gram. Only hashes of its gram and of its bytes are
+   shuffled and sorted: a gram that one document alone has ends here with all its windows; of equal segments all but the
+   earliest are repeats; a gram with one content is done.
+2. Further digits. Of grams with several contents, the earliest segment of each is dealt out by gram. Each task sorts their
+   windows through ``window`` bytes in passes of eight bytes, going on only inside groups that still hold several suffixes.
+   Every group knows the earliest document it occurs in.
+3. A gram with very many contents (the edge of a passage of a large part of all documents) is not one task's work: its
+   segments are aggregated by content, then their windows, with partial aggregates on every task.
 4. Repeated windows go back to their documents, whose segments are cut again in the same way, and their bytes are removed.
 
 Defined results: texts are UTF-8 bytes, NULL counts as empty, texts under ``window`` bytes stay whole. "Earlier" is by the
 whole-number id; rows without id come after all others; rows of equal id, or both without, are not earlier than each other.
-Repeated rows get equal results. Equal windows are found by their bytes; grams are told apart by 64-bit hashes, where a
-collision only costs a comparison, and rows of one id by a 64-bit hash of their text.
+Repeated rows get equal results. Whole segments are told apart by 128 bits of hashes (gram and content), windows in steps 2
+and 3 by their bytes, and rows of one id by a 64-bit hash of their text.
 """
 
 from __future__ import annotations
@@ -39,9 +40,11 @@ from jobstrata.session import materialise, scratch
 WINDOW = 50
 DIGIT = 8  # bytes
 HOT = 20_000  # segments of one gram in one task, if that is under a millionth of all
-TASK_SEGMENTS = 100_000
-_BLOCK = 4 << 20  # bytes worked on at once
+TASK_SEGMENTS = 60_000
+RUN_ROWS = 50_000  # rows of one gram judged together
+_BLOCK = 1 << 20  # bytes worked on at once
 _POSITION = np.uint64((1 << 24) - 1)
+_ODD = mix(np.arange(1, 1 << 12, dtype=np.uint64)) | np.uint64(1)  # a factor per digit of a gram
 _LAST = (1 << 63) - 1  # rank of rows without id
 _SPANS = ArrayType(StructType().add("begin", "integer").add("end", "integer"))
 
@@ -63,6 +66,11 @@ def _digits(buffer: bytes, kind: str) -> np.ndarray:
     return np.ndarray(shape=(max(len(buffer) - DIGIT + 1, 0),), dtype=kind, buffer=buffer, strides=(1,))
 
 
+def _add(h: np.ndarray, digit: np.ndarray, k: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return mix(h + digit * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k + 1))
+
+
 def _blocks(texts: list[bytes | None], window: int) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes]]]:
     """Pieces of documents of bounded size in all: their documents, first positions and bytes. The pieces of one document
     overlap, so that each window lies in exactly one piece."""
@@ -82,8 +90,9 @@ def _blocks(texts: list[bytes | None], window: int) -> Iterator[tuple[np.ndarray
         yield np.array(docs), np.array(begins), pieces
 
 
-def segments(texts: list[bytes | None], window: int = WINDOW) -> Iterator[tuple[np.ndarray, ...]]:
-    """``doc, start, n, gram`` of all segments, in order: index of the document, first byte, number of windows, gram hash."""
+def segments(texts: list[bytes | None], window: int = WINDOW, hashed: bool = True) -> Iterator[tuple[np.ndarray, ...]]:
+    """``doc, start, n, gram, content`` of all segments, in order: index of the document, first byte, number of windows, and
+    the hashes of the gram and, if asked for, of all bytes."""
     gram = gram_of(window)
     width = window - gram + 1
     for docs, begins, pieces in _blocks(texts, window):
@@ -91,8 +100,9 @@ def segments(texts: list[bytes | None], window: int = WINDOW) -> Iterator[tuple[
         total = len(buffer) - window
         digits, h = _digits(buffer, "<u8"), np.zeros(total, np.uint64)
         with np.errstate(over="ignore"):
-            for k in _offsets(gram):
-                h = mix(h + digits[k:k + total] * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k + 1))
+            for k, factor in zip(_offsets(gram), _ODD):
+                h += digits[k:k + total] * factor
+            h = mix(h)
         # the place of the lowest hash (leftmost of equals) in every window: minima over spans of doubled length
         low, span = (h & ~_POSITION) | np.arange(total, dtype=np.uint64), 1
         while 2 * span <= width:
@@ -108,7 +118,11 @@ def segments(texts: list[bytes | None], window: int = WINDOW) -> Iterator[tuple[
         place = (low[at] & _POSITION).astype(np.int64)
         new = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (at[1:] != at[:-1] + 1)]))
         piece = np.searchsorted(ends, at[new], "right")
-        yield docs[piece], at[new] - (ends - sizes)[piece] + begins[piece], np.diff(np.append(new, len(at))), h[place[new]]
+        n, content = np.diff(np.append(new, len(at))), np.zeros(len(new), np.uint64)
+        for first in (at[new], at[new] + n - 1):  # the first and the last window cover all
+            for k in _offsets(window) if hashed else ():
+                content = _add(content, digits[first + k], k)
+        yield docs[piece], at[new] - (ends - sizes)[piece] + begins[piece], n, h[place[new]], content
 
 
 def radix_groups(buffer: bytes, starts: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
@@ -126,109 +140,127 @@ def radix_groups(buffer: bytes, starts: np.ndarray, window: int = WINDOW) -> tup
     return index, group
 
 
-def _grams(rows: DataFrame, window: int) -> DataFrame:
-    """``g, r, u``: every gram of a document once."""
+def _firsts(doc: np.ndarray, g: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """For every segment of a block the first one of its document with the same hashes."""
+    with np.errstate(over="ignore"):
+        key = h + doc.astype(np.uint64) * _ODD[0]
+    _, first, group = np.unique(key, return_index=True, return_inverse=True)
+    first = first[group]
+    same = (h[first] == h) & (g[first] == g) & (doc[first] == doc)
+    return np.where(same, first, np.arange(len(first)))  # where keys collide, a segment stands for itself
+
+
+def _contents(rows: DataFrame, window: int) -> DataFrame:
+    """``g, h, r, u, a``: every segment of a document, equal ones once per block, by the hashes of gram and content."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             r, u = batch["r"].to_numpy(), batch["u"].to_numpy()
-            for doc, _, _, g in segments(batch["t"].to_pylist(), window):
-                order = np.lexsort((g, doc))
-                doc, g = doc[order], g[order]
-                one = np.concatenate([[True], (g[1:] != g[:-1]) | (doc[1:] != doc[:-1])])[:len(g)]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (g[one].view(np.int64), r[doc[one]], u[doc[one]])],
-                                                 ["g", "r", "u"])
-
-    return rows.mapInArrow(run, "g long, r long, u long")
-
-
-def _of_several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by ``g, r``, those whose ``g`` occurs with several ``r``. Rows are held back only while a gram has shown
-    a single rank, and not for the last rank, which nothing can follow."""
-    held: list[pa.RecordBatch] = []
-    gram = rank = None
-    shared = False
+            for doc, a, _, _, g, h in _by_document(batch["t"].to_pylist(), window, True):
+                keep = np.flatnonzero(_firsts(doc, g, h) == np.arange(len(doc)))
+                doc = doc[keep]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x) for x in (g[keep].view(np.int64), h[keep].view(np.int64), r[doc], u[doc], a[keep])],
+                    ["g", "h", "r", "u", "a"])
+
+    return rows.mapInArrow(run, "g long, h long, r long, u long, a long")
+
+
+def _sorted_out(batches: Iterator[pa.RecordBatch], most: int = RUN_ROWS) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by ``g, h, r``: segments whose content occurs in an earlier document (``mask`` -1, all windows) and, of
+    grams with several contents in several documents, the first segment of each content (no mask, but with the gram). The
+    rows of a gram are judged together if they are no more than ``most``; beyond, one by one as if it were such a gram."""
+    def judged(rows: pa.Table, content: int | None, low: int, whole: bool) -> tuple[pa.RecordBatch, int, int]:
+        g, h, r = (rows[c].to_numpy() for c in ("g", "h", "r"))
+        new_g = np.concatenate([[True], g[1:] != g[:-1]])
+        new = np.concatenate([[content != h[0]], (h[1:] != h[:-1]) | new_g[1:]])
+        first = np.flatnonzero(new)
+        lows = np.append(r[first], low)[np.cumsum(new) - 1]  # of the content before, if the first row continues it
+        check = r == lows
+        if whole:
+            begin, gram = np.flatnonzero(new_g), np.cumsum(new_g) - 1
+            several = np.minimum.reduceat(r, begin) < np.maximum.reduceat(r, begin)
+            check &= (several & (np.bincount(gram[first], minlength=len(begin)) > 1))[gram]
+        late = r > lows
+        keep = late | check
+        mask = pa.array(np.full(int(keep.sum()), -1, np.int64), mask=check[keep])
+        some = rows.filter(pa.array(keep)).combine_chunks()
+        columns = [some[c].combine_chunks() if some.num_rows else pa.array([], pa.int64()) for c in ("r", "u", "a", "g")]
+        return pa.RecordBatch.from_arrays([*columns, mask], ["r", "u", "a", "g", "mask"]), int(h[-1]), int(lows[-1])
+
+    held, gram, content, low = None, None, None, 0  # rows of the last gram; or that gram, when it has too many
     for batch in batches:
         if not batch.num_rows:
             continue
-        g, r = batch["g"].to_numpy(), batch["r"].to_numpy()
-        cut = np.concatenate([[0], np.flatnonzero(g[1:] != g[:-1]) + 1, [len(g)]])
-        first, last = cut[:-1], cut[1:] - 1
-        several = r[first] != r[last]
-        if g[0] == gram:
-            several[0] |= shared or r[0] != rank or r[last[0]] != rank
-            if several[0]:
-                yield from held
-                held = []
-        else:
-            held = []
-        out = np.repeat(several, np.diff(cut))
-        if out.any():
-            yield batch.filter(pa.array(out))
-        if gram != g[-1]:
-            held = []
-        gram, rank, shared = g[-1], r[-1], bool(several[-1])
-        if not shared and rank != _LAST:
-            held.append(batch.slice(int(first[-1])))
-
-
-def _shared_grams(rows: DataFrame, window: int) -> DataFrame:
-    """``g, r, u`` of grams that documents of several ranks have."""
-    dealt = _grams(rows, window).repartition("g").sortWithinPartitions("g", "r")
-    return materialise(dealt.mapInArrow(_of_several, dealt.schema), "shared_grams")
-
-
-def _hot_grams(shared: DataFrame, hot: int) -> tuple[np.ndarray, int]:
-    """Grams with more segments than one task should hold (less than a million in number), and the number of all rows."""
-    total = shared.count()
-    most = shared.groupBy("g").count().where(F.col("count") > max(hot, total // 1_000_000)).select("g")
+        rows = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+        held, g = None, rows["g"].to_numpy()
+        if gram is not None:
+            n = int(np.searchsorted(g, gram, "right"))  # sorted
+            if n:
+                out, content, low = judged(rows.slice(0, n), content, low, False)
+                yield out
+            if n == len(g):
+                continue
+            rows, g, gram, content = rows.slice(n), g[n:], None, None
+        begin = int(np.searchsorted(g, g[-1], "left"))
+        if begin:
+            yield judged(rows.slice(0, begin), None, 0, True)[0]
+        held = rows.slice(begin)
+        if held.num_rows > most:
+            gram = int(g[-1])
+            out, content, low = judged(held, None, 0, False)
+            yield out
+            held = None
+    if held is not None:
+        yield judged(held, None, 0, True)[0]
+
+
+def _first_digit(rows: DataFrame, window: int) -> DataFrame:
+    """``r, u, a, g, mask``: what is left when segments are sorted by gram and content."""
+    dealt = _contents(rows, window).repartition("g").sortWithinPartitions("g", "h", "r")
+    return materialise(dealt.mapInArrow(_sorted_out, "r long, u long, a long, g long, mask long"), "first_digit")
+
+
+def _hot_grams(open_segments: DataFrame, hot: int) -> tuple[np.ndarray, int]:
+    """Grams with more segments than one task should hold (less than a million in number), and the number of all segments."""
+    total = open_segments.count()
+    most = open_segments.groupBy("g").count().where(F.col("count") > max(hot, total // 1_000_000)).select("g")
     return np.sort(most.toArrow()["g"].to_numpy().astype(np.int64)), total
 
 
-def _by_document(texts: list[bytes | None], window: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
-    """``segments`` of one document after the other (a long one in several parts): its index, the number of its segments
-    before these, and ``start, n, gram``."""
+def _by_document(texts: list[bytes | None], window: int, hashed: bool = False) -> Iterator[tuple[np.ndarray, ...]]:
+    """``segments`` with the number of each within its document: ``doc, a, start, n, gram, content``."""
     last, before = -1, 0
-    for doc, start, n, g in segments(texts, window):
-        cut = [0, *(np.flatnonzero(doc[1:] != doc[:-1]) + 1).tolist(), len(doc)]
-        for b, e in zip(cut, cut[1:]):
-            d = int(doc[b])
-            before, last = (before if d == last else 0), d
-            yield d, before, start[b:e], n[b:e], g[b:e]
-            before += e - b
+    for doc, start, n, g, h in segments(texts, window, hashed):
+        first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
+        a = np.arange(len(doc)) - np.repeat(first, np.diff(np.append(first, len(doc))))
+        if doc[0] == last:  # a long document goes on
+            a[doc == last] += before
+        last, before = int(doc[-1]), int(a[-1]) + 1
+        yield doc, a, start, n, g, h
 
 
 def _cut_segments(listed: DataFrame, hot: np.ndarray, window: int) -> DataFrame:
-    """``key, g, hot, seg, r, u, a``: the different segments of every document whose gram is in its list ``gs``; ``a`` is the
-    first segment of the document with these bytes."""
+    """``key, g, hot, seg, r, u, a``: the bytes of the segments that the list ``segs`` of their document names."""
     held = listed.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, gs, doc, seen = batch["t"].to_pylist(), batch["gs"], -1, set()
-            grams, pieces, nths, docs = [], [], [], []
-            for d, before, start, n, g in _by_document(texts, window):
-                if d != doc:
-                    doc, seen, wanted, text = d, set(), gs[d].values.to_numpy(), texts[d]
-                g = g.view(np.int64)
-                at = np.flatnonzero(np.isin(g, wanted))
-                for k, b, e, x in zip(at.tolist(), start[at].tolist(), (start[at] + n[at] + window - 1).tolist(), g[at].tolist()):
-                    piece = text[b:e]
-                    if piece not in seen:
-                        seen.add(piece)
-                        grams.append(x)
-                        pieces.append(piece)
-                        nths.append(before + k)
-                        docs.append(d)
-            g, a, docs = np.array(grams, np.int64), np.array(nths, np.int32), np.array(docs, np.int64)
-            r, u = batch["r"].to_numpy()[docs], batch["u"].to_numpy()[docs]
-            much = np.isin(g, held.value)
-            with np.errstate(over="ignore"):
-                spread = mix(u.view(np.uint64) + a.astype(np.uint64)).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.where(much, spread, g)), pa.array(g), pa.array(much), pa.array(pieces, pa.binary()), pa.array(r),
-                 pa.array(u), pa.array(a)], ["key", "g", "hot", "seg", "r", "u", "a"])
-
-    return listed.mapInArrow(run, "key long, g long, hot boolean, seg binary, r long, u long, a int")
+            texts, r, u, segs = batch["t"].to_pylist(), batch["r"].to_numpy(), batch["u"].to_numpy(), batch["segs"]
+            size = np.diff(segs.offsets.to_numpy())
+            wanted_doc, wanted = np.repeat(np.arange(len(texts)), size), segs.flatten().to_numpy()
+            for doc, a, start, n, g, _ in _by_document(texts, window):
+                here = np.concatenate([wanted[wanted_doc == d] + (int(d) << 40) for d in np.unique(doc)])
+                at = np.flatnonzero(np.isin(a + (doc << 40), here))
+                doc, a, g = doc[at], a[at], g[at].view(np.int64)
+                pieces = [texts[d][b:e] for d, b, e in zip(doc.tolist(), start[at].tolist(), (start[at] + n[at] + window - 1).tolist())]
+                much = np.isin(g, held.value)
+                with np.errstate(over="ignore"):
+                    spread = mix(r[doc].view(np.uint64) + a.astype(np.uint64)).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.where(much, spread, g)), pa.array(g), pa.array(much), pa.array(pieces, pa.binary()), pa.array(r[doc]),
+                     pa.array(u[doc]), pa.array(a)], ["key", "g", "hot", "seg", "r", "u", "a"])
+
+    return listed.mapInArrow(run, "key long, g long, hot boolean, seg binary, r long, u long, a long")
 
 
 def _first_of(segs: list[bytes], low: np.ndarray, window: int) -> np.ndarray:
@@ -278,7 +310,7 @@ def _marks(cut: DataFrame, window: int) -> DataFrame:
             [pa.array(r[keep]), pa.array(rows["u"].to_numpy()[keep]), pa.array(rows["a"].to_numpy()[keep]), pa.array(mask[keep]),
              pa.nulls(int(keep.sum()), pa.binary())], names)
 
-    return cut.mapInArrow(run, "r long, u long, a int, mask long, seg binary")
+    return cut.mapInArrow(run, "r long, u long, a long, mask long, seg binary")
 
 
 def _hot_marks(rows: DataFrame, window: int) -> DataFrame:
@@ -297,24 +329,26 @@ def _hot_marks(rows: DataFrame, window: int) -> DataFrame:
     return both.select("r", "u", "a", mask.alias("mask")).where("mask <> 0")
 
 
-def removed(texts: list[bytes], marks: list[dict[int, int]], window: int = WINDOW) -> list[list[tuple[int, int]]]:
-    """Maximal runs of bytes covered by marked windows, as begins and ends, of every text."""
+def removed(texts: list[bytes], marks: list[tuple[np.ndarray, np.ndarray]], window: int = WINDOW) -> list[list[tuple[int, int]]]:
+    """Maximal runs of bytes covered by marked windows (numbers of segments and their masks), as begins and ends, of every text."""
     edges = [np.zeros(len(t) + 1, np.int32) for t in texts]
-    doc, known = -1, {}
-    for d, before, start, n, _ in _by_document(texts, window):
-        if d != doc:
-            doc, known, text, edge, mine = d, {}, texts[d], edges[d], marks[d]
-        for k, (s, m) in enumerate(zip(start.tolist(), n.tolist()), before):
-            end = s + m + window - 1
-            mask = known.setdefault(text[s:end], mine.get(k, 0))
-            if mask == (1 << m) - 1:
-                edge[s] += 1
-                edge[end] -= 1
-            elif mask:
-                for j in range(m):
-                    if mask >> j & 1:
-                        edge[s + j] += 1
-                        edge[s + j + window] -= 1
+    for docs, numbers, starts, counts, g, h in _by_document(texts, window, True):
+        cut = [0, *(np.flatnonzero(docs[1:] != docs[:-1]) + 1).tolist(), len(docs)]
+        own = np.zeros(len(docs), np.int64)
+        for begin, end in zip(cut, cut[1:]):
+            a, mask = marks[docs[begin]]
+            inside = (a >= numbers[begin]) & (a <= numbers[end - 1])
+            own[a[inside] - numbers[begin] + begin] = mask[inside]
+        own = own[_firsts(docs, g, h)]  # only the first of equal ones has a mask
+        for begin, end in zip(cut, cut[1:]):
+            edge, mask, start, n = edges[docs[begin]], own[begin:end], starts[begin:end], counts[begin:end]
+            whole = mask == -1
+            np.add.at(edge, start[whole], 1)
+            np.add.at(edge, start[whole] + n[whole] + window - 1, -1)
+            for k in np.flatnonzero(mask > 0).tolist():
+                at = int(start[k]) + np.flatnonzero(int(mask[k]) >> np.arange(int(n[k])) & 1)
+                edge[at] += 1
+                edge[at + window] -= 1
     out = []
     for edge in edges:
         inside = np.concatenate([[False], np.cumsum(edge)[:-1] > 0, [False]])
@@ -333,7 +367,8 @@ def _cleaned(rows: DataFrame, window: int) -> DataFrame:
             kept, ms = [t or b"" for t in batch["t"].to_pylist()], batch["ms"].to_pylist()
             hit = [k for k, m in enumerate(ms) if m]
             spans: list[list] = [[] for _ in kept]
-            for k, runs in zip(hit, removed([kept[k] for k in hit], [{m["a"]: m["mask"] for m in ms[k]} for k in hit], window)):
+            marks = [tuple(np.array([m[c] for m in ms[k]], np.int64) for c in ("a", "mask")) for k in hit]
+            for k, runs in zip(hit, removed([kept[k] for k in hit], marks, window)):
                 spans[k] = [{"begin": b, "end": e} for b, e in runs]
                 text, stays = kept[k], [0, *chain.from_iterable(runs), len(kept[k])]
                 kept[k] = b"".join(text[b:e] for b, e in zip(stays[::2], stays[1::2]))
@@ -346,17 +381,22 @@ def remove_repeats(docs: DataFrame, text: str = "text", id: str = "doc_id", *, w
     """All rows with ``kept`` (the remaining bytes) and ``spans`` (the removed runs, in bytes) in place of the text and of columns
     of these names. A byte is removed if it lies in a ``window`` that also starts in an earlier document of the input."""
     rest = [F.col(f"`{c}`") for c in docs.columns if c not in (text, "kept", "spans")]
-    keyed = docs.select(F.struct(*rest).alias("row"), F.coalesce(F.col(f"`{id}`").cast("long"), F.lit(_LAST)).alias("r"),
-                        F.xxhash64(f"`{text}`").alias("u"), F.col(f"`{text}`").cast("binary").alias("t"))
+    repeated = docs.groupBy(F.col(f"`{id}`")).count().where("count > 1")
+    # rows of one id are told apart by their text; where there are none, the rank says it all
+    u = F.lit(0).cast("long") if repeated.isEmpty() else F.xxhash64(f"`{text}`")
+    keyed = docs.select(F.struct(*rest).alias("row"), F.coalesce(F.col(f"`{id}`").cast("long"), F.lit(_LAST)).alias("r"), u.alias("u"),
+                        F.col(f"`{text}`").cast("binary").alias("t"))
     long_enough = keyed.where(F.octet_length("t") >= window).drop("row")
     with scratch(docs.sparkSession) as scope:
-        shared = _shared_grams(long_enough, window)
-        much, total = _hot_grams(shared, hot)
-        lists = materialise(shared.groupBy("r", "u").agg(F.collect_set("g").alias("gs")), "gram_lists")
+        first = _first_digit(long_enough, window)
+        still = first.where("mask is null")
+        much, total = _hot_grams(still, hot)
+        lists = still.groupBy("r", "u").agg(F.collect_set("a").alias("segs"))
         tasks = max(1, -(-total // TASK_SEGMENTS))
         dealt = _cut_segments(long_enough.join(lists, ["r", "u"]), much, window).repartition(tasks, "key")
         marked = materialise(_marks(dealt, window), "marks")
-        masks = marked.where("mask is not null").select("r", "u", "a", "mask")
+        masks = first.where("mask is not null").select("r", "u", "a", "mask").unionByName(
+            marked.where("mask is not null").select("r", "u", "a", "mask"))
         if len(much):
             masks = masks.unionByName(_hot_marks(marked.where("mask is null"), window))
         found = scope.result(masks.groupBy("r", "u").agg(F.collect_set(F.struct("a", "mask")).alias("ms")), "repeats")

@@ -93,7 +93,7 @@ def test_long_documents_are_cut_without_losing_a_window(spark, monkeypatch):
     rows = [(i, (t or "").encode()) for i, t in _mixed(4, 25)]
     texts = [t for _, t in rows]
     seen = [Counter() for _ in texts]
-    for doc, start, n, _ in radix_spans.segments(texts):
+    for doc, start, n, _, _ in radix_spans.segments(texts):
         for d, s, m in zip(doc.tolist(), start.tolist(), n.tolist()):
             seen[d].update(range(s, s + m))
     for t, c in zip(texts, seen):
@@ -103,7 +103,7 @@ def test_long_documents_are_cut_without_losing_a_window(spark, monkeypatch):
 def test_equal_windows_have_one_gram():
     texts = [t.encode() for _, t in _mixed(5, 40)] + [b"z" * 200, b"z" * 120]
     gram = {}
-    for doc, start, n, g in radix_spans.segments(texts):
+    for doc, start, n, g, _ in radix_spans.segments(texts):
         for d, s, m, x in zip(doc.tolist(), start.tolist(), n.tolist(), g.tolist()):
             for p in range(s, s + m):
                 assert gram.setdefault(texts[d][p:p + 50], x) == x
@@ -123,6 +123,28 @@ def test_groups_are_the_repeated_windows():
     assert list(found.values()) == sorted(found.values())
 
 
+@pytest.mark.parametrize("most", [50_000, 2])
+@pytest.mark.parametrize("size", [1, 3, 1000])
+def test_sorting_out_does_not_depend_on_batches(most, size):
+    import pyarrow as pa
+
+    dice = np.random.default_rng(size)
+    rows = np.array(sorted({tuple(x) for x in dice.integers(0, [6, 4, 5, 2, 3], (120, 5)).tolist()}))
+    rows = rows[(rows[:, 0] != 3) | (rows[:, 2] == 1)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in rows[b:b + size].T], ["g", "h", "r", "u", "a"])
+               for b in range(0, len(rows), size)]
+    got = {tuple(x.values()) for b in radix_spans._sorted_out(iter(batches), most) for x in b.to_pylist()}
+    low = {}
+    for g, h, r, _, _ in rows.tolist():
+        low[g, h] = min(low.get((g, h), 99), r)
+    late = {(r, u, a, g, -1) for g, h, r, u, a in rows.tolist() if r > low[g, h]}
+    needed = {(r, u, a, g, None) for g, h, r, u, a in rows.tolist() if r == low[g, h]
+              and len({x for x, _ in low if x == g}) and len({h2 for g2, h2 in low if g2 == g}) > 1
+              and len({r2 for g2, _, r2, _, _ in rows.tolist() if g2 == g}) > 1}
+    allowed = {(r, u, a, g, None) for g, h, r, u, a in rows.tolist() if r == low[g, h]}
+    assert late | needed <= got <= late | (allowed if most == 2 else needed)
+
+
 def test_query_on_the_whole_table(spark):
     folder = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{folder}/documents.parquet")
