@@ -133,7 +133,7 @@ def near_duplicate_texts_dropped(t: Tables):
       f AS (SELECT min(r) AS r FROM t GROUP BY x)
       SELECT a, b, round(similarity, 6) AS similarity FROM s WHERE a IN (SELECT r FROM f) AND b IN (SELECT r FROM f)"""))
 def similar_pairs(t: Tables):
-    pairs = neardup.similar_rows(_titled(t), row="p_partkey", text="compare", all_pairs=True)
+    pairs = neardup.similar_rows(_titled(t), row="p_partkey", text="compare")
     return pairs.select("a", "b", F.round("similarity", 6).alias("similarity"))
 
 

@@ -29,7 +29,7 @@ def _raw(t: Tables):
     """Parts as postings of two sites, each listed twice to exercise first-seen."""
     key = F.col("p_partkey").cast("string")
     fields = {
-        "platform": F.when(F.col("p_size") % 2 == 0, "careerviet").otherwise("topdev"), "page_no": F.col("p_partkey"),
+        "platform": F.when(F.col("p_size") % 2 == 0, "careerviet").otherwise("topdev"), "source": F.lit("part"), "page_no": F.col("p_partkey"),
         "pos": F.lit(0), "job_id": key, "job_title": F.col("p_name"),
         "created_on": F.date_format(F.expr("date_sub(date'2024-02-28', cast(p_partkey % 90 as int))"), "yyyy-MM-dd"),
         "emp_name": F.col("p_brand"), "location_raw": F.array(F.concat(F.lit("Hà Nội, "), "p_type")),

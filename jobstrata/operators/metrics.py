@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -14,6 +14,14 @@ def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
+def observed(df: DataFrame, name: str, nulls: Mapping[str, str]) -> tuple[DataFrame, Observation]:
+    """``df`` and an observation of its rows and, under the given names, of the NULLs in columns, taken by the action that
+    first runs it."""
+    seen = Observation(name)
+    counts = [F.count_if(F.col(column).isNull()).alias(alias) for alias, column in nulls.items()]
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts), seen
+
+
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows in all and NULLs per column, in one pass."""
     return df.agg(F.count(F.lit(1)).alias("n_rows"),

@@ -68,6 +68,14 @@ def merge_facts(facts: DataFrame, batch: DataFrame, *, key: str = "job_id",
     return kept.unionByName(added)
 
 
+def changes(facts: DataFrame, batch: DataFrame, *, key: str = "job_id",
+            refreshed: Sequence[str] = ("is_expired", "last_seen_id")) -> DataFrame:
+    """Rows of a batch that a merge would add or that would refresh something."""
+    old = facts.select(F.col(key).alias("_key"), F.struct(*refreshed).alias("_now"))
+    same = F.struct(*[F.col(c).cast(facts.schema[c].dataType).alias(c) for c in refreshed]).eqNullSafe(F.col("_now"))
+    return batch.join(old, F.col(key) == F.col("_key"), "left").filter(~same).select(*batch.columns)
+
+
 def new_bridge_rows(bridge: DataFrame, batch: DataFrame, keys: Sequence[str] = ("skill_id", "job_id")) -> DataFrame:
     """Distinct rows of the batch that the bridge does not hold yet."""
     keys = list(keys)

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from jobstrata import config
 from jobstrata.functions import dates, links, text
-from jobstrata.operators import dedupe, lookups, neardup, unify, upserts
+from jobstrata.operators import dedupe, lookups, metrics, neardup, unify, upserts
 from jobstrata.schemas import DIMENSIONS
-from jobstrata.session import materialise
+from jobstrata.session import materialise, scratch
 from jobstrata.sources.tables import TableStore
 
 DIM_SOURCES = {"location_dim": ["location_name"], "date_dim": ["date_view", "last_seen"],
@@ -73,25 +73,54 @@ def load_dimensions(store: TableStore, postings: DataFrame, skills: DataFrame) -
             store.append(name, added)
 
 
+class Loaded(NamedTuple):
+    """What a load met before it repaired or dropped anything; counted while the rows were written."""
+
+    facts: int            # postings of the batch
+    null_labels: int      # of these, without a known label: they get the default label
+    null_employers: int
+    null_places: int
+    null_days: int
+    skills: int           # skills of new postings
+    null_skills: int      # of these, unknown to the dimension: dropped
+
+
 def load(store: TableStore, prepared: Prepared, *, run_ts: str, max_age_days: int = config.MAX_AGE_DAYS,
-         default_label: int = config.DEFAULT_LABEL_KEY, expire: bool = True) -> None:
-    """Dimensions first, then facts and the skill bridge. Repeating a run changes nothing."""
+         default_label: int = config.DEFAULT_LABEL_KEY) -> Loaded:
+    """Dimensions first, then the skill bridge and the facts. Repeating a run changes nothing.
+
+    Of the facts only the parts that the batch meets are read, and those in which it changes something rewritten. Whether a posting has expired is not stored
+    for old rows; :func:`current_facts` derives it. Old generations and scratch tables are gone when a load has ended.
+    """
+    spark = prepared.postings.sparkSession
     run_date = F.lit(run_ts).cast("timestamp").cast("date")
-    seed_labels(store, default_label)
-    load_dimensions(store, prepared.postings, prepared.skills)
-    dims = {name: store.read(name) for name in ("location_dim", "date_dim", "label_dim", "emp_dim", "skill_dim")}
-    facts = store.read("fact_job_postings")
-
-    recent = prepared.postings.filter(dates.is_recent(F.col("date_view"), run_date, max_age_days))
-    batch = materialise(lookups.posting_keys(recent, dims, default_label), "facts")
-    fresh_skills = dedupe.not_in(dedupe.only_in(prepared.skills, recent, "job_id"), facts, "job_id")
-    bridge_batch = lookups.skill_keys(fresh_skills, dims["skill_dim"]).dropna(subset=["skill_id"])
-    bridge = materialise(upserts.new_bridge_rows(store.read("fact_skill"), bridge_batch), "bridge")
-
-    # the bridge goes first: if the run dies in between, the repeat still finds the jobs unloaded
-    if not bridge.isEmpty():
-        store.append("fact_skill", bridge)
-    merged = upserts.merge_facts(facts, batch)
-    if expire:
-        merged = upserts.mark_expired(merged, dims["date_dim"], run_ts[:10])
-    store.replace("fact_job_postings", merged)
+    with scratch(spark):
+        seed_labels(store, default_label)
+        load_dimensions(store, prepared.postings, prepared.skills)
+        dims = {name: store.read(name) for name in ("location_dim", "date_dim", "label_dim", "emp_dim", "skill_dim")}
+
+        recent = prepared.postings.filter(dates.is_recent(F.col("date_view"), run_date, max_age_days))
+        keyed, seen_facts = metrics.observed(lookups.keyed_postings(recent, dims), "facts", {
+            "null_labels": "label_id", "null_employers": "emp_id", "null_places": "location_id", "null_days": "created_on_id"})
+        batch = materialise(lookups.fact_rows(keyed, default_label), "facts")
+        met = store.read_met("fact_job_postings", batch)
+        fresh_skills = dedupe.not_in(dedupe.only_in(prepared.skills, recent, "job_id"), met, "job_id")
+        keyed, seen_skills = metrics.observed(lookups.skill_keys(fresh_skills, dims["skill_dim"]), "skills", {"null_skills": "skill_id"})
+        bridge_batch = materialise(keyed.dropna(subset=["skill_id"]), "bridge_batch")
+        bridge = materialise(upserts.new_bridge_rows(store.read("fact_skill"), bridge_batch), "bridge")
+
+        # the bridge goes first: if the run dies in between, the repeat still finds the jobs unloaded
+        if not bridge.isEmpty():
+            store.append("fact_skill", bridge)
+        changed = materialise(upserts.changes(met, batch), "changes")
+        if not changed.isEmpty():
+            store.replace_parts("fact_job_postings", upserts.merge_facts(store.read_met("fact_job_postings", changed), changed))
+        for name in (*DIMENSIONS, "fact_skill"):
+            store.clean(name)
+    facts, skills = seen_facts.get, seen_skills.get
+    return Loaded(facts["rows"], *[facts[c] for c in Loaded._fields[1:5]], skills["rows"], skills["null_skills"])
+
+
+def current_facts(store: TableStore, run_date: str) -> DataFrame:
+    """All facts with ``is_expired`` as of a day: last seen before it."""
+    return upserts.mark_expired(store.read("fact_job_postings"), store.read("date_dim"), run_date)

@@ -13,8 +13,9 @@ STR, INT, LONG, DATE, BOOL, DBL = (T.StringType(), T.IntegerType(), T.LongType()
                                    T.BooleanType(), T.DoubleType())
 STRINGS = T.ArrayType(STR)
 
+# ``source`` names the request or file a posting was read from; with page and position it gives the order of arrival
 POSTING_RAW = _struct(
-    platform=STR, page_no=LONG, pos=INT, job_id=STR, job_title=STR, created_on=STR, emp_name=STR,
+    platform=STR, source=STR, page_no=LONG, pos=INT, job_id=STR, job_title=STR, created_on=STR, emp_name=STR,
     location_raw=STRINGS, job_link=STR, skills=STRINGS, job_desc=STR,
 )
 
@@ -41,6 +42,12 @@ FACT_SKILL = _struct(skill_id=LONG, job_id=STR)
 TABLES = {**{name: spec[2] for name, spec in DIMENSIONS.items()},
           "fact_job_postings": FACT_POSTINGS, "fact_skill": FACT_SKILL}
 
+# tables kept in a fixed number of parts by a hash of a column: only the parts a batch meets are rewritten
+PARTED = {"fact_job_postings": ("job_id", 64)}
+
+LISTING_PAGE = _struct(platform=STR, source=STR, page_no=LONG, html=STR)
+DETAIL_FETCH = _struct(platform=STR, job_id=STR, status=INT, fetched_at=STR, html=STR)
+
 GAZETTEER = _struct(city=STR, admin1=STR, lat=DBL, lon=DBL)
 
 # ---- API payloads: one JSON object per response, the postings under "data" --------------------

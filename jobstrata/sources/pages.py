@@ -16,7 +16,7 @@ from jobstrata import config, schemas
 from jobstrata.functions import links
 from jobstrata.sources import html
 
-CARD = "platform string, page_no bigint, pos int, job_title string, emp_name string, location_name string, " \
+CARD = "platform string, source string, page_no bigint, pos int, job_title string, emp_name string, location_name string, " \
        "href string, created_on string, job_desc string"
 DETAIL = "platform string, job_id string, job_desc string, date_texts array<string>, coordinates array<string>"
 
@@ -44,7 +44,7 @@ def _settings(sites: Mapping[str, Mapping[str, str]], platform: str, on_unknown:
 
 def find_cards(pages: DataFrame, sites: Mapping[str, Mapping[str, str]] = config.LISTING_SITES,
                on_unknown: str = "raise") -> DataFrame:
-    """One row per card of the pages ``(platform, page_no, html)``; absent fields are NULL.
+    """One row per card of the pages ``(platform, page_no, html)``, perhaps with their ``source``; absent fields are NULL.
 
     A page of a site without settings raises, or on demand (``on_unknown="skip"``) gives no card; ``unknown_sites`` counts
     them.
@@ -54,20 +54,21 @@ def find_cards(pages: DataFrame, sites: Mapping[str, Mapping[str, str]] = config
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for platform, page_no, page in zip(batch["platform"], batch["page_no"], batch["html"]):
+            for platform, source, page_no, page in zip(*[batch[c] for c in ("platform", "source", "page_no", "html")]):
                 site = _settings(sites, platform, on_unknown)
                 if site is None:
                     continue
                 for pos, card in enumerate(html.parse(page).find_all(site["container"])):
                     dated = site.get("created_on_attr")
-                    rows.append((platform, page_no, pos, _one(card, site.get("job_title")),
+                    rows.append((platform, source, page_no, pos, _one(card, site.get("job_title")),
                                  _one(card, site.get("emp_name")), _one(card, site.get("location_name")),
                                  _one(card, site.get("job_link"), "href"),
                                  card.attrs.get(dated) if dated else _one(card, site.get("created_on")),
                                  _one(card, site.get("job_desc"))))
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in CARD.split(", ")])
 
-    return pages.select("platform", F.col("page_no").cast("bigint"), "html").mapInPandas(run, CARD)
+    source = F.col("source") if "source" in pages.columns else F.lit(None).cast("string")
+    return pages.select("platform", source.alias("source"), F.col("page_no").cast("bigint"), "html").mapInPandas(run, CARD)
 
 
 def site_domain(platform: Column, sites: Mapping[str, Mapping[str, str]] = config.LISTING_SITES) -> Column:

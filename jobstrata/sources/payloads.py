@@ -43,7 +43,7 @@ def broken_bodies(bodies: DataFrame) -> DataFrame:
 
 def read_responses(spark: SparkSession, path: str | Sequence[str], platform: str, layout: str = "lines",
                    on_broken: str = "raise") -> DataFrame:
-    """One row per posting of the landed files: ``page_no``, ``pos`` and the struct ``job``.
+    """One row per posting of the landed files: ``source`` (the file), ``page_no``, ``pos`` and the struct ``job``.
 
     Responses without ``data`` give no rows. Unreadable bodies raise, or on demand (``on_broken="skip"``) are left out;
     :func:`broken_bodies` counts them.
@@ -52,24 +52,26 @@ def read_responses(spark: SparkSession, path: str | Sequence[str], platform: str
     broken = F.col("broken").isNotNull()
     if on_broken == "raise":  # part of the value, so that no filter can run before it
         fail = F.raise_error(F.concat(F.lit("unreadable response in "), F.col("file")))
-        return _postings(bodies.select("page_no", F.when(broken, fail).otherwise(F.col("data")).alias("data")))
-    return _postings(bodies.filter(~broken).select("page_no", "data"))
+        return _postings(bodies.select(F.col("file").alias("source"), "page_no", F.when(broken, fail).otherwise(F.col("data")).alias("data")))
+    return _postings(bodies.filter(~broken).select(F.col("file").alias("source"), "page_no", "data"))
 
 
 def parse_responses(bodies: DataFrame, platform: str, body: str = "body", on_broken: str = "raise") -> DataFrame:
-    """Same for responses landed in a table with ``page_no`` and a JSON text column; a NULL body has no postings."""
+    """Same for responses landed in a table with ``page_no``, a JSON text column and perhaps ``source``; a NULL body has no
+    postings."""
     mode = "FAILFAST" if on_broken == "raise" else "PERMISSIVE"
     parsed = F.from_json(body, schemas.PAYLOADS[platform], {"mode": mode})
-    return _postings(bodies.select("page_no", parsed["data"].alias("data")))
+    source = F.col("source") if "source" in bodies.columns else F.lit(None).cast("string")
+    return _postings(bodies.select(source.alias("source"), "page_no", parsed["data"].alias("data")))
 
 
 def _postings(df: DataFrame) -> DataFrame:
-    return df.select(F.coalesce("page_no", F.lit(0)).alias("page_no"), F.posexplode("data").alias("pos", "job"))
+    return df.select("source", F.coalesce("page_no", F.lit(0)).alias("page_no"), F.posexplode("data").alias("pos", "job"))
 
 
 def _raw(df: DataFrame, platform: str, **fields: Column) -> DataFrame:
     kinds = {f.name: f.dataType for f in schemas.POSTING_RAW}
-    given = {"platform": F.lit(platform), "page_no": F.col("page_no"), "pos": F.col("pos"), **fields}
+    given = {"platform": F.lit(platform), "source": F.col("source"), "page_no": F.col("page_no"), "pos": F.col("pos"), **fields}
     return df.select(*[given.get(name, F.lit(None)).cast(kind).alias(name) for name, kind in kinds.items()])
 
 

@@ -148,10 +148,33 @@ def test_all_pairs_match_brute_force(spark):
     _, s = brute_force(texts)
     want = {(a, b) for a, b in zip(*np.where(np.triu(s, 1) > 0.75))}
     df = spark.createDataFrame(list(enumerate(texts)), "seq bigint, v string")
-    got = {(r.a, r.b) for r in neardup.similar_rows(df, row="seq", text="v", all_pairs=True).collect()}
+    got = {(r.a, r.b) for r in neardup.similar_rows(df, row="seq", text="v").collect()}
     assert got == want
 
 
+@pytest.mark.parametrize("n", [1, 2, 3])
+def test_all_pairs_with_a_joined_vocabulary(spark, monkeypatch, n):
+    monkeypatch.setattr(neardup, "VOCABULARY", 5)
+    texts = [t for t in dict.fromkeys(made_up(9, 80)) if len(t) >= n]
+    _, s = brute_force(texts, n=n)
+    df = spark.createDataFrame(list(enumerate(texts)), "seq bigint, v string")
+    got = {(r.a, r.b): r.similarity for r in neardup.similar_rows(df, row="seq", text="v", n=n).collect()}
+    assert set(got) == {(a, b) for a, b in zip(*np.where(np.triu(s, 1) > 0.75))}
+    assert all(abs(s[p] - x) < 1e-9 for p, x in got.items())
+    assert kept(spark, texts, n=n) == brute_force(texts, n=n)[0]
+
+
+def test_similar_rows_with_their_copies_give_every_pair(spark):
+    texts = [t for t in made_up(10, 90) if len(t) >= 3]
+    _, s = brute_force(texts)
+    df = spark.createDataFrame(list(enumerate(texts)), "seq bigint, v string")
+    first = {r[0]: r[1] for r in neardup.copies_of(df, row="seq", text="v").select("row", "first").collect()}
+    alike = {(r.a, r.b) for r in neardup.similar_rows(df, row="seq", text="v").collect()}
+    got = {(a, b) for a in first for b in first if a < b and (
+        first[a] == first[b] or tuple(sorted((first[a], first[b]))) in alike)}
+    assert got == {(a, b) for a, b in zip(*np.where(np.triu(s, 1) > 0.75))}
+
+
 def test_grams_outside_the_basic_plane(spark):
     df = spark.createDataFrame([("a😀bç",), ("ab",), (None,)], "v string")
     assert [r[0] for r in df.select(neardup.char_grams(F.col("v"))).collect()] == [["a😀b", "😀bç"], [], None]
