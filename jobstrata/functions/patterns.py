@@ -39,18 +39,42 @@ def _is_word(char: str) -> bool:
     return char == "_" or unicodedata.category(char)[0] in "LN"
 
 
-def whole_word(words: Iterable[str]) -> str:
+# where a small ASCII letter is followed by a capital, and where it is not
+CAMEL_EDGE = "(?-iu:(?<=[a-z])(?=[A-Z]))"
+_NO_CAMEL_EDGE = "(?-iu:(?<![a-z](?=[A-Z])))"
+
+
+def _in_camel_case(word: str) -> str:
+    """The word as it stands in a text in which camel case was not split: its blanks may be camel-case edges, and no other
+    place in it may be one."""
+    parts, before = [], ""
+    for char in word:
+        if char == " ":
+            parts.append(f"(?: |{CAMEL_EDGE})")
+        else:
+            parts.append((_NO_CAMEL_EDGE if before.isascii() and before.isalpha() and char.isascii() and char.isalpha() else "")
+                         + re.escape(char))
+        before = char
+    return "".join(parts)
+
+
+def whole_word(words: Iterable[str], camel: bool = False) -> str:
     """Any of the words, in any case, with a word edge on both sides (group 1).
 
     Next to a letter an edge means "no word character on the other side", next to a symbol it
-    means "a word character on the other side".
+    means "a word character on the other side". With ``camel`` words are found as if camel case had been split by blanks
+    before, without rewriting the text.
     """
     words = list(words)
-    before = {True: f"(?<!{WORD})", False: f"(?<={WORD})"}
-    after = {True: f"(?!{WORD})", False: f"(?={WORD})"}
-    if words and all(_is_word(w[0]) and _is_word(w[-1]) for w in words):
-        return standalone_word(words)
-    parts = [before[_is_word(w[0])] + re.escape(w) + after[_is_word(w[-1])] for w in words]
+    if not words:
+        raise ValueError("at least one word is needed")
+    edge = f"|{CAMEL_EDGE}" if camel else ""
+    before = {True: f"(?:(?<!{WORD}){edge})", False: f"(?<={WORD})"}
+    after = {True: f"(?:(?!{WORD}){edge})", False: f"(?={WORD})"}
+    written = _in_camel_case if camel else re.escape
+    if all(_is_word(w[0]) and _is_word(w[-1]) for w in words):
+        return f"(?iu){_first_letters(words)}{before[True]}({'|'.join(map(written, words))}){after[True]}"
+    parts = [before[_is_word(w[0])] + written(w) + after[_is_word(w[-1])] for w in words]
     return f"(?iu){_first_letters(words)}({'|'.join(parts)})"
 
 

@@ -36,11 +36,13 @@ def split_camel_case(text: Column) -> Column:
 
 def is_relevant(title: Column, must_have: Iterable[str], positive: Iterable[str],
                 negative: Iterable[str]) -> Column:
-    """True when a must-have and a positive word occur and no negative one does."""
-    spaced = split_camel_case(title)
-    keep = (spaced.rlike(patterns.whole_word(must_have))
-            & spaced.rlike(patterns.whole_word(positive))
-            & ~spaced.rlike(patterns.whole_word(negative)))
+    """True when a must-have and a positive word occur and no negative one does.
+
+    Camel case counts as split (``split_camel_case``); the patterns know its edges, so the text is not rewritten.
+    """
+    keep = (title.rlike(patterns.whole_word(must_have, camel=True))
+            & title.rlike(patterns.whole_word(positive, camel=True))
+            & ~title.rlike(patterns.whole_word(negative, camel=True)))
     return F.coalesce(keep, F.lit(False))
 
 

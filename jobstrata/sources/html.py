@@ -7,6 +7,8 @@ Covers what the site settings use: tag, ``.class``, ``[attr]``, ``[attr=value]``
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import lru_cache
 from html.parser import HTMLParser
@@ -28,14 +30,33 @@ class Element:
     parent: Element | None
     children: list = field(default_factory=list)  # elements and text, in page order
 
-    def walk(self):
-        """All elements below this one in page order, however deep."""
-        stack = self.children[::-1]
+    def hits(self, selectors: Sequence[str]):
+        """``(place, element, which)`` for every element below this one, in page order: its place among them and the numbers of
+        the selectors it fits; ``which`` is None where the element of that place ends.
+
+        One pass for all selectors. A state per selector, the number of its leading steps that the open elements have
+        taken, goes down with them, so no element looks up at its ancestors again.
+        """
+        plans = [_parse(s) for s in selectors]
+        above, e = [], self
+        while e is not None:
+            above.append(e)
+            e = e.parent
+        states = [0] * len(plans)
+        for e in reversed(above if any(len(p) > 1 for p in plans) else []):
+            states = _further(e, states, plans)
+        place, stack = 0, [(c, states, -1) for c in reversed(self.children) if isinstance(c, Element)]
         while stack:
-            child = stack.pop()
-            if isinstance(child, Element):
-                yield child
-                stack += child.children[::-1]
+            e, states, begun = stack.pop()
+            if begun >= 0:
+                yield begun, e, None
+                continue
+            yield place, e, [k for k, (n, p) in enumerate(zip(states, plans)) if n == len(p) - 1 and _fits_step(e, p[-1])]
+            stack.append((e, states, place))
+            place += 1
+            if e.children:
+                below = _further(e, states, plans)
+                stack += [(c, below, -1) for c in reversed(e.children) if isinstance(c, Element)]
 
     def text(self) -> str:
         """Stripped text pieces of the element and everything in it, joined without a separator.
@@ -52,12 +73,41 @@ class Element:
         return "".join(pieces)
 
     def find_all(self, selector: str):
-        steps = _parse(selector)
-        return [e for e in self.walk() if _fits(e, steps)]
+        return [e for _, e, which in self.hits([selector]) if which]
 
     def find(self, selector: str):
-        steps = _parse(selector)
-        return next((e for e in self.walk() if _fits(e, steps)), None)
+        return next((e for _, e, which in self.hits([selector]) if which), None)
+
+    def cards(self, container: str, fields: Mapping[str, str]) -> list[tuple[Element, dict[str, Element]]]:
+        """Every element that fits ``container``, with the first element below it for each field that has one.
+
+        The page is walked once for all selectors; the first fitting element after a card's begin and before its end is
+        looked up in the sorted places of the field's elements.
+        """
+        names = list(fields)
+        found, places, elements = [], [[] for _ in names], [[] for _ in names]
+        ends: dict[int, int] = {}
+        last = 0
+        for place, e, which in self.hits([container, *fields.values()]):
+            if which is None:
+                ends[place] = last
+                continue
+            last = place
+            for k in which:
+                if k:
+                    places[k - 1].append(place)
+                    elements[k - 1].append(e)
+                else:
+                    found.append((place, e))
+        out = []
+        for place, card in found:
+            inside = {}
+            for name, at, of in zip(names, places, elements):
+                k = bisect_right(at, place)
+                if k < len(at) and at[k] <= ends[place]:
+                    inside[name] = of[k]
+            out.append((card, inside))
+        return out
 
 
 @lru_cache(maxsize=256)
@@ -78,15 +128,14 @@ def _fits_step(e: Element, step) -> bool:
     return True
 
 
-def _fits(e: Element, steps) -> bool:
-    if not _fits_step(e, steps[-1]):
-        return False
-    left, up = len(steps) - 1, e.parent
-    while left and up is not None:
-        if _fits_step(up, steps[left - 1]):
-            left -= 1
-        up = up.parent
-    return left == 0
+def _further(e: Element, states: list[int], plans: list) -> list[int]:
+    """States of the selectors below ``e``; a step taken as early as possible leaves most for the others."""
+    new = None
+    for k, (n, p) in enumerate(zip(states, plans)):
+        if n < len(p) - 1 and _fits_step(e, p[n]):
+            new = new or list(states)
+            new[k] = n + 1
+    return new or states
 
 
 class _Builder(HTMLParser):

@@ -21,13 +21,11 @@ CARD = "platform string, source string, page_no bigint, pos int, job_title strin
 DETAIL = "platform string, job_id string, job_desc string, date_texts array<string>, coordinates array<string>"
 
 
-def _one(card, selector: str | None, attr: str | None = None) -> str | None:
-    if not selector:
-        return None
-    node = card.find(selector)
-    if node is None:
-        return None
-    return node.attrs.get(attr) if attr else node.text()
+_CARD_FIELDS = ("job_title", "emp_name", "location_name", "job_link", "created_on", "job_desc")
+
+
+def _text(card: Mapping, name: str) -> str | None:
+    return card[name].text() if name in card else None
 
 
 def unknown_sites(pages: DataFrame, sites: Mapping[str, Mapping[str, str]]) -> DataFrame:
@@ -58,13 +56,13 @@ def find_cards(pages: DataFrame, sites: Mapping[str, Mapping[str, str]] = config
                 site = _settings(sites, platform, on_unknown)
                 if site is None:
                     continue
-                for pos, card in enumerate(html.parse(page).find_all(site["container"])):
-                    dated = site.get("created_on_attr")
-                    rows.append((platform, source, page_no, pos, _one(card, site.get("job_title")),
-                                 _one(card, site.get("emp_name")), _one(card, site.get("location_name")),
-                                 _one(card, site.get("job_link"), "href"),
-                                 card.attrs.get(dated) if dated else _one(card, site.get("created_on")),
-                                 _one(card, site.get("job_desc"))))
+                fields = {name: site[name] for name in _CARD_FIELDS if site.get(name)}
+                dated = site.get("created_on_attr")
+                for pos, (card, has) in enumerate(html.parse(page).cards(site["container"], fields)):
+                    link = has["job_link"].attrs.get("href") if "job_link" in has else None
+                    rows.append((platform, source, page_no, pos, _text(has, "job_title"), _text(has, "emp_name"),
+                                 _text(has, "location_name"), link, card.attrs.get(dated) if dated else _text(has, "created_on"),
+                                 _text(has, "job_desc")))
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in CARD.split(", ")])
 
     source = F.col("source") if "source" in pages.columns else F.lit(None).cast("string")

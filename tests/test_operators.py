@@ -270,6 +270,42 @@ def test_nearest_place_matches_brute_force(spark):
     assert {r.id: r.city for r in got.collect()} == want
 
 
+@pytest.mark.parametrize("kind", ["spread", "cluster", "line"])
+def test_few_places_are_compared_with_each_spot(spark, kind):
+    rng = random.Random(5)
+    if kind == "spread":
+        at = [(rng.uniform(-89, 89), rng.uniform(-180, 180)) for _ in range(3000)]
+    elif kind == "cluster":  # a dense region far from most spots, and coordinates that repeat
+        at = [(10 + rng.gauss(0, 0.05), 106 + rng.gauss(0, 0.05)) for _ in range(2500)] + [(10.0, 106.0)] * 500
+    else:
+        at = [(0.0, -179 + k * 0.1) for k in range(3000)]
+    spots = [(i, rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(150)] + [(500 + i, 10.0 + i / 1e4, 106.0) for i in range(50)]
+
+    def unit(la, lo):
+        la, lo = np.radians(la), np.radians(lo)
+        return np.array([np.cos(la) * np.cos(lo), np.cos(la) * np.sin(lo), np.sin(la)]).T
+
+    places = unit(*np.array(at).T)
+    points = unit(np.array([s[1] for s in spots]), np.array([s[2] for s in spots]))
+    least = ((points[:, None, :] - places[None]) ** 2).sum(2).min(1)
+    frame = spark.createDataFrame(spots, "id int, lat double, lon double")
+    towns = spark.createDataFrame([(f"c{i:05}", "p", *x) for i, x in enumerate(at)], "city string, admin1 string, lat double, lon double")
+    got = {r.id: int(r.city[1:]) for r in geo.nearest_place(frame, towns).collect()}
+    for k, s in enumerate(spots):
+        assert abs(((points[k] - places[got[s[0]]]) ** 2).sum() - least[k]) < 1e-12
+    one = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(points)], "spot int, x double, y double, z double")
+    unique = spark.createDataFrame(sorted({tuple(map(float, p)) for p in places}), "gx double, gy double, gz double")
+    per_spot = [r["count"] for r in geo.near_candidates(one, unique).groupBy("spot").count().collect()]
+    assert len(per_spot) == len(spots) and sum(per_spot) / len(per_spot) < 150
+
+
+def test_nearest_place_of_nothing(spark):
+    spots = spark.createDataFrame([(1, 1.0, 2.0), (2, None, None)], "id int, lat double, lon double")
+    none = spark.createDataFrame([], "city string, admin1 string, lat double, lon double")
+    assert [r.city for r in geo.nearest_place(spots, none).collect()] == [None, None]
+    assert geo.nearest_place(spots.limit(0), none).count() == 0
+
+
 def test_metrics(spark):
     df = spark.createDataFrame([(1, None), (2, "a"), (3, "a")], "id int, v string")
     seen, observed = metrics.counted(df, "rows_seen")

@@ -292,3 +292,52 @@ def test_markup_that_is_never_closed():
     assert [e.text() for e in flat.find_all("li")] == ["a", "b", "c"]
     assert [e.text() for e in flat.find_all("tr")] == ["de", "f"]
     assert html.parse("<p>x<script>var a = 1;</script><style>p{}</style>y</p>").text() == "xy"
+
+
+def _fits_by_looking_up(e, steps):
+    """The definition: the last step fits, and the others fit ancestors, nearest last."""
+    from jobstrata.sources.html import _fits_step
+
+    if not _fits_step(e, steps[-1]):
+        return False
+    left, up = len(steps) - 1, e.parent
+    while left and up is not None:
+        left -= _fits_step(up, steps[left - 1])
+        up = up.parent
+    return left == 0
+
+
+def test_selectors_in_one_pass_agree_with_looking_up(spark):
+    import random
+
+    from jobstrata.sources.html import _parse
+
+    dice = random.Random(4)
+    selectors = [".a", "div .a", ".a .b", "div .a p", ".b div .a .b", "[x]", ".a [x] p"]
+    for _ in range(150):
+        page = "".join(dice.choice(["<div>", '<div class="a">', '<p class="b a" x=1>', '<div class="b">', "</div>", "</p>", "t", '<b x="2">', "</b>"])
+                       for _ in range(dice.randint(1, 60)))
+        root = html.parse(page)
+        everything = [e for _, e, which in root.hits([]) if which is not None]
+        for card in [root, *dice.sample(everything, min(3, len(everything)))]:
+            below = [e for _, e, which in card.hits([]) if which is not None]
+            for sel in selectors:
+                want = [e for e in below if _fits_by_looking_up(e, _parse(sel))]
+                assert [id(e) for e in card.find_all(sel)] == [id(e) for e in want]
+                assert card.find(sel) is (want[0] if want else None)
+        for card, has in root.cards(".a", {"p": "p", "b": ".a .b", "x": "[x]"}):
+            assert {k: id(e) for k, e in has.items()} == {
+                k: id(card.find(q)) for k, q in (("p", "p"), ("b", ".a .b"), ("x", "[x]")) if card.find(q) is not None}
+
+
+def test_deep_pages_take_time_in_proportion_to_their_size():
+    import time
+
+    def seconds(n):
+        root = html.parse('<div class="a"><div class="c">' * n)
+        start = time.perf_counter()
+        assert len(root.find_all(".b .a")) == 0 and len(root.cards(".a", {"c": ".a .c", "d": ".b .d"})) == n
+        return time.perf_counter() - start
+
+    seconds(500)
+    assert seconds(20_000) < 40 * max(seconds(2_000), 0.005)

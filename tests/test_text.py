@@ -105,3 +105,21 @@ def test_every_keyword_is_kept_literally():
     assert len(config.SKILLS) == len(set(config.SKILLS))
     with pytest.raises(ValueError):
         patterns.alternation([])
+
+
+def test_words_in_camel_case_are_found_as_if_it_were_split(spark):
+    import random
+
+    from jobstrata.functions import patterns
+
+    words = ["data", "data engineer", "powerbi", "power bi", "c++", "r", "dữ liệu", ".net", "a b"]
+    dice = random.Random(1)
+    pieces = ["Data", "data", "Engineer", "engineer", "Power", "BI", "bi", "Bi", "C++", "R", "r", "DỮ LIỆU", "dữ Liệu", ".NET", " ",
+              " ", "x", "A", "b", "B", "é", "_", "1", "\n", "aB", "A B", "A  B"]
+    texts = ["".join(dice.choice(pieces) for _ in range(dice.randint(1, 6))) for _ in range(3000)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for some in (words, ["data engineer", "power bi"], ["r"], ["c++", ".net"]):
+        direct = F.col("t").rlike(patterns.whole_word(some, camel=True))
+        split = text.split_camel_case(F.col("t")).rlike(patterns.whole_word(some))
+        assert df.filter(direct != split).collect() == []
+        assert 0 < df.filter(direct).count() < 3000
