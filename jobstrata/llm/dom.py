@@ -34,21 +34,20 @@ class Node:
         self.name, self.about, self.parent, self.text, self.linked = name, about, parent, text, linked
 
 
-def _tag_end(html: str, at: int, last_quote: dict[str, int]) -> int:
-    """Place of the ``>`` that ends a tag, quotes considered; -1 if there is none."""
-    end = html.find(">", at)
-    while end >= 0:
-        inside = html[at:end]
-        open_quote = None
-        for c in inside if '"' in inside or "'" in inside else "":
-            if open_quote is None and c in "\"'":
-                open_quote = c
-            elif c == open_quote:
-                open_quote = None
-        if open_quote is None or last_quote[open_quote] < end or len(inside) > 20_000:
-            return end
-        end = html.find(">", html.find(open_quote, end) + 1)
-    return end
+_STOP = re.compile(r">|=\s*([\"'])")
+
+
+def _tag_end(html: str, at: int) -> int:
+    """Place of the ``>`` that ends a tag, behind all quoted attribute values however long; -1 if there is none. A quote opens
+    a value only behind ``=``, and one that never closes opens none."""
+    while found := _STOP.search(html, at):
+        if not found[1]:
+            return found.start()
+        close = html.find(found[1], found.end())
+        if close < 0:
+            return html.find(">", found.end())
+        at = close + 1
+    return -1
 
 
 def parse(html: str) -> list[Node]:
@@ -59,7 +58,6 @@ def parse(html: str) -> list[Node]:
     open_names: dict[str, int] = {}
     run: list[str] = []
     linked, links = 0, 0
-    last_quote = {q: html.rfind(q) for q in "\"'"}
 
     def flush() -> None:
         nonlocal linked
@@ -124,7 +122,7 @@ def parse(html: str) -> list[Node]:
                 say("<")
                 at = begin + 1
             continue
-        end = _tag_end(html, found.end(), last_quote)
+        end = _tag_end(html, found.end())
         if end < 0:  # cut off inside a tag
             break
         name, attributes, at = found[0].lower(), html[found.end():end], end + 1

@@ -24,7 +24,8 @@ NOT_ARTICLE = {
               "footer", "footer class='legal copyright disclaimer'", "div class='sidebar'", "header", "div role='alert'",
               "div class='site-info'", "dialog", "div class='paywall login'", "div role='contentinfo'"],
     "comments": ["div class='comments'", "section id='comments' class='comment-list'", "div class='comment reply'",
-                 "ol class='commentlist discussion'", "div class='reader-comments responses'", "section class='feedback'"],
+                 "ol class='commentlist discussion'", "div class='reader-comments responses'", "section class='feedback'", "div id='disqus_thread'",
+                 "div class='fb-comments' id='discussion'", "div id='respond'", "div id='utterances'", "section id='user-reviews'"],
     "form": ["form", "form class='search'", "form id='contact'", "form class='newsletter'"],
 }
 _WORDS = ("the of and to a in is it that for with as was on are by be this have from or had not but what all were when we "
@@ -43,6 +44,10 @@ class _Maker:
     def prose(self, low: int = 1, high: int = 6) -> str:
         return " ".join(self.sentence() for _ in range(self.dice.randint(low, high)))
 
+    def notice(self, high: int = 3) -> str:
+        """What stands in boilerplate: mostly short, sometimes as long as a paragraph of an article or longer."""
+        return self.prose(1, high) if self.dice.random() < 0.6 else self.prose(3, 20)
+
     def phrase(self) -> str:
         return " ".join(self.dice.choice(_WORDS) for _ in range(self.dice.randint(1, 4))).capitalize()
 
@@ -63,7 +68,7 @@ class _Maker:
         for _ in range(self.dice.randint(1, 9)):
             kind = self.dice.random()
             if kind < 0.7:
-                out.append(f"<p>{self.prose()}</p>")
+                out.append(f"<p>{self.prose(1, 6) if self.dice.random() < 0.8 else self.prose(4, 20)}</p>")
             elif kind < 0.78:
                 out.append(self.heading())
             elif kind < 0.84:
@@ -84,10 +89,11 @@ class _Maker:
         if kind == "links":
             inner = self.links()
         elif kind == "prose":
-            inner = self.dice.choice([self.prose(1, 3), f"<p>{self.prose(1, 3)}</p>", f"{self.heading()}<p>{self.prose(1, 2)}</p>"])
+            inner = self.dice.choice([self.notice(), f"<p>{self.notice()}</p>", f"{self.heading()}<p>{self.notice(2)}</p>"])
         elif kind == "comments":
-            one = [f"<div class='comment'><p>{self.prose(1, 4)}</p></div>" for _ in range(self.dice.randint(1, 5))]
-            inner = self.heading() + "".join(one)
+            name = self.dice.choice([" class='comment'", " class='comment'", " class='post-body'", ""])
+            one = [f"<div{name}><p>{self.notice(4)}</p></div>" for _ in range(self.dice.randint(1, 5))]
+            inner = self.dice.choice([self.heading(), ""]) + "".join(one)
         else:
             inner = f"<p>{self.phrase()}</p><label>{self.phrase()}</label><select><option>{self.phrase()}</select><button>{self.phrase()}</button>"
         return self.box(opening, 0, inner)
