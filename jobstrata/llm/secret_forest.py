@@ -29,22 +29,23 @@ from jobstrata.session import materialise
 
 MIN_LENGTH = 12
 CONTEXT = 60
+SHARE = 1000
 REPLACEMENT = "<SECRET>"
 KEYS = "password|passphrase|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|auth|credential"
-_NAME = rf"(?i:{KEYS})s?(?:(?:[_.\-]|(?<=[a-z])[A-Z])[A-Za-z0-9_.\-]{{0,24}})?"  # also password_hash, secretKey, SECRET_KEY
+_NAME = rf"(?i:{KEYS})s?(?:(?:[_.\-]|(?<=[a-z])[A-Z])[A-Za-z0-9_.\-]{{0,64}})?"  # also password_hash, secretKey, SECRET_KEY
 _SIGN = r"[\"']?[ \t]{0,4}(?:=>|:=|[:=])[ \t]{0,4}"
-_PEM = (r"-----BEGIN (?:[A-Z0-9]+ ){0,4}PRIVATE KEY(?: BLOCK)?-----(?:[^-]*+(?:-(?!----)[^-]*+){0,40}+"
-        r"-----END (?:[A-Z0-9]+ ){0,4}PRIVATE KEY(?: BLOCK)?-----|(?:(?:\s|\\[nr]){0,4}[A-Za-z0-9+/=]{40,}+){0,400}+)")
+_PEM = (r"-----BEGIN (?:[A-Z0-9]+ ){0,4}PRIVATE KEY(?: BLOCK)?-----(?:(?>[\s\S]*?(?=-----))-----END (?:[A-Z0-9]+ ){0,4}PRIVATE KEY"
+        r"(?: BLOCK)?-----|(?:(?:\s|\\[nr]){0,4}[A-Za-z0-9+/=]{40,}+){0,2000}+)")  # a key that is cut off: up to 2,000 of its lines
 _JWT = r"eyJ[A-Za-z0-9_\-]{6,}\.[A-Za-z0-9_\-]{6,}\.[A-Za-z0-9_\-]*"
 _MAIL = r"SG\.[A-Za-z0-9_\-]{16,}\.[A-Za-z0-9_\-]{16,}"
 _PREFIX = r"AIza|[rs]k_(?:live|test)_|whsec_|gh[pousr]_|github_pat_|xox[abprs]-|glpat-|npm_|pypi-|hf_|shp(?:at|ss|ca|pa)_|dop_v1_"
-_IN_URL = r"://[^\s/?#@:\"'<>]{0,64}:"
+_IN_URL = r"://[^\s/?#@:\"'<>]{0,255}:"
 _BEARER = r"\b(?:[Bb]earer|BEARER|(?i:authorization)[\"']?[ \t]{0,2}[:=][ \t]{0,2}[\"']?(?i:basic|token))[ \t]{1,4}"
 CANDIDATE = (rf"{_PEM}|(?<![A-Za-z0-9+/_\-])(?:{_JWT}|{_MAIL})"
-             rf"|(?<=:)(?<={_IN_URL})[^\s/?#\"'<>]{{1,256}}(?=@[A-Za-z0-9\[])"
+             rf"|(?<=:)(?<={_IN_URL})[^\s/?#\"'<>]{{1,}}(?=@[A-Za-z0-9\[])"
              # the short look-behinds only spare the long ones most places
-             rf"|(?<=[\"'])(?<=[:=>][ \t]{{0,4}}.)(?<={_NAME}{_SIGN}.)(?:(?<=\")[^\"\r\n]{{4,512}}(?=\")|(?<=')[^'\r\n]{{4,512}}(?='))"
-             rf"|(?<=[:=> \t\"'])(?<=[:=>][ \t]{{0,4}}[\"']?)(?<={_NAME}{_SIGN}[\"']?)(?!(?i:bearer|basic)[ \t])[^\s\"'`,;<>(){{}}\[\]]{{4,512}}"
+             rf"|(?<=[\"'])(?<=[:=>][ \t]{{0,4}}.)(?<={_NAME}{_SIGN}.)(?:(?<=\")[^\"\r\n]{{4,}}+(?=\")|(?<=')[^'\r\n]{{4,}}+(?='))"
+             rf"|(?<=[:=> \t\"'])(?<=[:=>][ \t]{{0,4}}[\"']?)(?<={_NAME}{_SIGN}[\"']?)(?!(?i:bearer|basic)[ \t])[^\s\"'`,;<>(){{}}\[\]]{{4,}}+"
              rf"|(?<=[ \t])(?<={_BEARER})(?=[A-Za-z._~+/\-]*[0-9])[A-Za-z0-9._~+/\-]{{8,}}=*"
              rf"|(?<![A-Za-z0-9+/_\-])(?=[A-Za-z+/_\-]*[0-9]|[A-Z0-9]{{16}}|{_PREFIX})[A-Za-z0-9+/_\-]{{{MIN_LENGTH},}}")
 _KEYED = rf"{_NAME}{_SIGN}[\"']?$"
@@ -98,11 +99,13 @@ def findings(docs: DataFrame, text: str = "text", id: str = "doc_id", path: str
         F.col("_id").alias(id), F.col("_path").alias("path"), F.col("pos").alias("nth"), "col.*")
 
 
-def dictionary(found: DataFrame, size: int = 400) -> list[str]:
-    """The most frequent words of at least three letters around all findings, longest first; at most ``size``."""
+def dictionary(found: DataFrame, share: int = SHARE) -> list[str]:
+    """Words of at least three letters that make up one in ``share`` words or more around all findings, longest first: fewer than
+    ``share`` by definition."""
     word = F.explode(F.regexp_extract_all(F.lower(F.concat_ws(" ", "before", "after")), F.lit(r"\b[a-z]{3,}\b"), F.lit(0)))
-    rows = found.select(word.alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n")).orderBy(
-        F.desc("n"), "w").limit(size).collect()
+    counts = materialise(found.select(word.alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n")), "context_words")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    rows = counts.where(F.col("n") * share >= total).select("w").collect()
     return sorted((r["w"] for r in rows), key=lambda w: (-len(w), w))
 
 
@@ -168,7 +171,7 @@ def _cells(labelled: DataFrame, words: list[str], trees: int, held: dict[str, li
         return F.when(u < 368, 0).when(u < 736, 1).when(u < 920, 2).otherwise(3)
 
     return materialise(binned.groupBy("label", *CUTS).agg(
-        F.array(*[F.sum(times(t)) for t in range(trees)]).alias("weights")).coalesce(2), "forest_cells")
+        F.array(*[F.sum(times(t)) for t in range(trees)]).alias("weights")), "forest_cells")
 
 
 def _place(splits: dict[int, tuple[str, int]], node: int = 1) -> Column:
