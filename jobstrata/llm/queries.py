@@ -160,8 +160,8 @@ FROM captures c LEFT JOIN best b ON b.url = c.url AND b.fetched_on = c.fetched_o
 @query
 def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
     pages = _table(spark, folder, "pages").select("page_id", "url", "html")
-    _, index = warc_index.archive(pages)
-    return warc_index.look_up(warc_index.keys_of(pages), index)
+    records, index = warc_index.archive(pages)
+    return warc_index.look_up(warc_index.keys_of(pages), index, records=records)
 
 
 @query

@@ -36,6 +36,7 @@ from jobstrata.session import materialise, new_path
 
 REVISIT_BYTES = 1000
 BLOCK_LINES = 300
+TASK_BYTES = 4 << 20  # of compressed records that one look-up task reads
 FILE_BYTES = 1 << 30
 _ID = "urn:x-page:"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -213,8 +214,14 @@ class IndexFile:
             k += 1
 
 
-def look_up(keys: DataFrame, index: DataFrame, with_payload: bool = False) -> DataFrame:
-    """The records of the distinct ``key`` values, read by way of the index."""
+def look_up(keys: DataFrame, index: DataFrame, with_payload: bool = False, records: DataFrame | None = None) -> DataFrame:
+    """The records of the distinct ``key`` values, read by way of the index.
+
+    A key is a few bytes, its record may be a large page. With ``records`` the number of tasks follows the bytes of all of
+    them, ``TASK_BYTES`` each.
+    """
+    size = records.agg(F.sum("length")).first()[0] or 0 if records is not None else 0
+    tasks = [max(1, -(-size // TASK_BYTES))] if records is not None else []
     files = sorted((r["first_key"], r["path"]) for r in index.collect())  # a row per index file
     if not files:
         files = [("", "")]
@@ -245,7 +252,7 @@ def look_up(keys: DataFrame, index: DataFrame, with_payload: bool = False) -> Da
     names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"] + ["payload"] * with_payload
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
     dealt = keys.select("key").distinct().mapInArrow(deal, "key string, file int")
-    return dealt.repartitionByRange("file", "key").sortWithinPartitions("file", "key").mapInArrow(
+    return dealt.repartitionByRange(*tasks, "file", "key").sortWithinPartitions("file", "key").mapInArrow(
         run, schema + (", payload binary" if with_payload else ""))
 
 
