@@ -142,7 +142,7 @@ def _cells(counted: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[str,
     binned = rows.select(
         (F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0).alias("held"), (F.col("label") == 0).alias("bad"),
         *[sum((F.when(F.col(s) > t, 1).otherwise(0) for t in cuts[s]), F.lit(0)).alias("b_" + s) for s in STATISTICS])
-    return materialise(binned.groupBy(*binned.columns).agg(F.count(F.lit(1)).alias("n")).coalesce(2), "cells"), cuts
+    return materialise(binned.groupBy(*binned.columns).agg(F.count(F.lit(1)).alias("n")), "cells"), cuts
 
 
 def _sums(cells: DataFrame, by: list[str]) -> DataFrame:

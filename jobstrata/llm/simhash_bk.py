@@ -187,7 +187,7 @@ def links(distinct: DataFrame, radius: int = RADIUS, shard_rows: int = SHARD_ROW
         dealt, left = _deal(members, left, radius)
         dealt = materialise(dealt, "shards")
         large = dealt.groupBy("path", "held").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > shard_rows)
-        large = materialise(large.coalesce(1), "large_shards")
+        large = materialise(large, "large_shards")
         if large.isEmpty():
             parts.append(dealt)
             break
