@@ -164,6 +164,17 @@ def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc_index.look_up(warc_index.keys_of(pages), index, records=records)
 
 
+ORACLE["op9_warc"] = """
+WITH payloads AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+known AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last FROM payloads)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id < last THEN last END AS refers_to
+FROM known
+"""
+
+
 @query
 def op7_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     model = html_tree.fit(labelled_pages.pages())
@@ -186,9 +197,9 @@ def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
 
 ORACLE["op11_vector_codes"] = """
 WITH kept AS (
-  SELECT vec_id, label, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
   FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 parts AS (
   SELECT vec_id, label, p, list_slice(v, p * (len(v) // 16) + 1, (p + 1) * (len(v) // 16)) AS x
   FROM kept, range(16) AS t(p)),
@@ -197,7 +208,7 @@ seeds AS (
 b0 AS (SELECT p, k, x AS e FROM parts JOIN seeds USING (vec_id)),
 a0 AS (
   SELECT vec_id, p, any_value(x) AS x, arg_min(k, d * 64 + k) AS k FROM (
-    SELECT vec_id, p, x, k, list_sum(list_transform(range(1, len(x) + 1), i -> (x[i] - e[i]) * (x[i] - e[i]))) AS d
+    SELECT vec_id, p, x, k, list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - e[i]) * (x[i] - e[i]))) AS d
     FROM parts JOIN b0 USING (p)) GROUP BY vec_id, p),
 m0 AS (
   SELECT p, k, list(m ORDER BY i) AS e FROM (
@@ -206,7 +217,7 @@ m0 AS (
 b1 AS (SELECT p, k, coalesce(m0.e, b0.e) AS e FROM b0 LEFT JOIN m0 USING (p, k)),
 a1 AS (
   SELECT vec_id, p, any_value(x) AS x, arg_min(k, d * 64 + k) AS k FROM (
-    SELECT vec_id, p, x, k, list_sum(list_transform(range(1, len(x) + 1), i -> (x[i] - e[i]) * (x[i] - e[i]))) AS d
+    SELECT vec_id, p, x, k, list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - e[i]) * (x[i] - e[i]))) AS d
     FROM parts JOIN b1 USING (p)) GROUP BY vec_id, p),
 m1 AS (
   SELECT p, k, list(m ORDER BY i) AS e FROM (
@@ -215,7 +226,7 @@ m1 AS (
 b2 AS (SELECT p, k, coalesce(m1.e, b1.e) AS e FROM b1 LEFT JOIN m1 USING (p, k)),
 a2 AS (
   SELECT vec_id, p, arg_min(k, d * 64 + k) AS k, min(d) AS d FROM (
-    SELECT vec_id, p, k, list_sum(list_transform(range(1, len(x) + 1), i -> (x[i] - e[i]) * (x[i] - e[i]))) AS d
+    SELECT vec_id, p, k, list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - e[i]) * (x[i] - e[i]))) AS d
     FROM parts JOIN b2 USING (p)) GROUP BY vec_id, p),
 coded AS (
   SELECT vec_id, string_agg(printf('%02x', k), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error
@@ -236,12 +247,81 @@ def op12_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
                           F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+ORACLE["op12_suffix_dedup"] = """
+WITH docs AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+windows AS (
+  SELECT doc_id, p, substr(h, 2 * p + 1, 100) AS s
+  FROM (SELECT doc_id, h, unnest(range(0, greatest(n - 49, 0))) AS p FROM docs)),
+firsts AS (SELECT s, min(doc_id) AS earliest FROM windows GROUP BY s HAVING min(doc_id) < max(doc_id)),
+repeats AS (SELECT doc_id, p FROM windows JOIN firsts USING (s) WHERE earliest < doc_id),
+runs AS (
+  SELECT doc_id, min(p) AS b, max(p) + 50 AS e
+  FROM (SELECT doc_id, p, sum(fresh) OVER (PARTITION BY doc_id ORDER BY p) AS run
+        FROM (SELECT doc_id, p, CASE WHEN p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) <= 50 THEN 0 ELSE 1 END AS fresh
+              FROM repeats))
+  GROUP BY doc_id, run),
+kept AS (  -- what lies before each run and behind the last one
+  SELECT doc_id, string_agg(substr(h, 2 * b + 1, 2 * (e - b)), '' ORDER BY b) AS h
+  FROM (SELECT doc_id, h, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY b), 0) AS b, b AS e FROM runs JOIN docs USING (doc_id)
+        UNION ALL SELECT doc_id, any_value(h), max(e), any_value(n) FROM runs JOIN docs USING (doc_id) GROUP BY doc_id)
+  GROUP BY doc_id),
+gone AS (SELECT doc_id, CAST(sum(e - b) AS BIGINT) AS n_removed, count(*) AS n_spans FROM runs GROUP BY doc_id)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept.h, docs.h))) AS kept_sha256
+FROM docs LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
 @query
 def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return variant_trie.variants(_table(spark, folder, "documents").select("doc_id", "text")).select(
         "word", "form", "root", "n", "n_near", "form_n")
 
 
+ORACLE["op13_spelling_variants"] = """
+WITH RECURSIVE bits AS (
+  SELECT i, i AS c, 0 AS k FROM (SELECT unnest(range(256)) AS i)
+  UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8),
+runs AS (
+  SELECT doc_id, translate(r, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS times
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS r FROM documents)
+  WHERE length(r) >= 7 GROUP BY ALL),
+hexed AS (SELECT *, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS h FROM runs),
+hashed AS (
+  SELECT run, times, xor(4294967295, list_reduce(
+      list_prepend(4294967295, list_transform(range(0, length(h) // 2), lambda j: CAST('0x' || substr(h, 2 * j + 1, 2) AS BIGINT))),
+      lambda acc, byte: xor(acc >> 8, t[(xor(acc, byte) & 255) + 1]))) AS crc
+  FROM hexed, crc),
+words AS (
+  SELECT word, CAST(sum(times) AS BIGINT) AS n
+  FROM (SELECT CASE WHEN crc % 31 = 0 THEN left(run, crc % length(run)) || substr(run, crc % length(run) + 2) ELSE run END AS word, times
+        FROM hashed)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2),
+places AS (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words),
+gaps AS (SELECT word, left(word, i - 1) || ' ' || substr(word, i + 1) AS gap, left(word, i - 1) || substr(word, i + 1) AS less FROM places),
+shorter AS (SELECT DISTINCT g.word, w.word AS near FROM gaps g JOIN words w ON w.word = g.less),
+near AS (
+  SELECT word, near FROM shorter UNION SELECT near, word FROM shorter
+  UNION SELECT a.word, b.word FROM gaps a JOIN gaps b ON a.gap = b.gap AND a.word <> b.word),
+best AS (
+  SELECT near.word, count(*) AS n_near, max(w.n) AS most, min(w.word) FILTER (w.n = m.most) AS near
+  FROM near JOIN words w ON w.word = near.near
+  JOIN (SELECT near.word, max(n) AS most FROM near JOIN words ON words.word = near.near GROUP BY near.word) m ON m.word = near.word
+  GROUP BY near.word),
+forms AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.most >= 10 * w.n THEN b.near END AS form,
+         CASE WHEN b.most >= 10 * w.n THEN b.most END AS form_n
+  FROM words w LEFT JOIN best b ON b.word = w.word),
+chain AS (
+  SELECT word, word AS here, 0 AS steps FROM forms
+  UNION ALL SELECT c.word, f.form, c.steps + 1 FROM chain c JOIN forms f ON f.word = c.here WHERE f.form IS NOT NULL),
+roots AS (SELECT word, arg_max(here, steps) AS root FROM chain GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)
+"""
+
+
 @query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
