@@ -170,14 +170,23 @@ def skills_of_survivors(t: Tables):
 # ---- set operations ----------------------------------------------------------------------------
 
 
+_SITES = {"customer": ["c_custkey", "c_name", "c_nationkey"], "supplier": ["s_suppkey", "s_name", "s_nationkey"],
+          "other": ["id", "name", "nation"]}
+
+
 @query("""SELECT 'customer' AS platform, CAST(c_custkey AS VARCHAR) AS id, c_name AS name, CAST(c_nationkey AS VARCHAR) AS nation
           FROM customer UNION ALL
-          SELECT 'supplier', CAST(s_suppkey AS VARCHAR), s_name, CAST(s_nationkey AS VARCHAR) FROM supplier""")
+          SELECT 'supplier', CAST(s_suppkey AS VARCHAR), s_name, CAST(s_nationkey AS VARCHAR) FROM supplier UNION ALL
+          SELECT 'unknown', CAST(r_regionkey AS VARCHAR), r_name, NULL FROM region""")
 def sites_in_one_layout(t: Tables):
-    columns = {"customer": ["c_custkey", "c_name", "c_nationkey"], "supplier": ["s_suppkey", "s_name", "s_nationkey"],
-               "other": ["id", "name", "nation"]}
-    return unify.union_sites([("customer", t.customer), ("supplier", t.supplier), ("unknown", t.region)], columns=columns,
-                             on_missing="skip")
+    unknown = t.region.select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("name"), F.lit(None).alias("nation"))
+    return unify.union_sites([("customer", t.customer), ("supplier", t.supplier), ("unknown", unknown)], columns=_SITES)
+
+
+@query("""SELECT 'nation' AS platform, count(*) AS n_rows FROM nation UNION ALL SELECT 'region', count(*) FROM region""")
+def rows_of_sites_without_a_layout(t: Tables):
+    frames = [("customer", t.customer), ("region", t.region), ("nation", t.nation)]
+    return t.spark.createDataFrame(sorted(unify.left_out(frames, columns=_SITES).items()), "platform string, n_rows bigint")
 
 
 @query("""SELECT p_partkey AS job_id, p_type AS skill_raw FROM part UNION ALL
