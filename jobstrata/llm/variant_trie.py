@@ -8,7 +8,8 @@ is a distributed table.
    names the word.
 3. States ``(word, position, node, edits)`` of one depth are joined with the edges that leave the nodes of that depth; edges of
    a node are one row, as there are no more than letters. A state goes on along an edge that equals its next letters or
-   differs from them by the one edit it may still make, and only if a letter that can follow does. Words at the ends of
+   differs from them by the one edit it may still make; after its edit only if what is left of the word may follow, by the bits
+   that every node keeps of the ends of its words. Words at the ends of
    edges become neighbours if they are one edit away, which is compared on the whole words.
 4. Edges have one letter down to a depth of 64; below, depths double, so that even words of 100,000 letters take few levels.
 
@@ -38,11 +39,14 @@ DELETE_EVERY = 31
 SINGLE = 64  # depth down to which edges have one letter
 _DEEPEST = 40  # doublings; far more letters than a text can have
 _LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+_MASKS = ("pairs", "rests", "rests_2")
 _HELD = 200_000  # words counted in a task before they are passed on
 
 
 def runs_of(text: str, least: int) -> list[str]:
     """Maximal runs of letters of at least this length, with A-Z made small."""
+    if text.isascii():
+        return re.findall(r"[a-z]{%d,}" % least, text.lower())
     found = re.findall(r"[A-Za-zÀ-ÿ]{%d,}" % least, text)
     return [w.lower() if w.isascii() else w.translate(_LOWER) for w in found]
 
@@ -110,38 +114,45 @@ def _oriented(words: DataFrame) -> DataFrame:
 
 
 def _passed(oriented: DataFrame) -> DataFrame:
-    """A row per word and node it passes: ``node, parent, depth, label, s, ends, follows`` (the next letter as a bit)."""
-    all_depths = F.array(*[F.lit(d).cast("long") for d in _depths()])
-    own = F.concat(F.filter(all_depths, lambda d: (d >= F.col("top")) & (d < F.col("size"))), F.array(F.col("size").cast("long")))
+    """A row per word and node it passes: ``node, parent, depth, label, s, ends``, and the next two letters (``pairs``) and all
+    further ones (``rests``, ``rests_2``) as bits."""
+    size = F.col("size").cast("long")
+    deep = F.array(*[F.lit(d).cast("long") for d in _depths() if d > SINGLE])
+    own = F.when(size <= SINGLE, F.sequence("top", size)).otherwise(F.concat(
+        F.when(F.col("top") <= SINGLE, F.sequence("top", F.lit(SINGLE).cast("long"))).otherwise(F.array().cast("array<bigint>")),
+        F.filter(deep, lambda d: (d >= F.col("top")) & (d < size)), F.array(size)))
     # the step from one depth to the next; the first node has no way in
     steps = F.transform(own, lambda d, k: F.struct(d.alias("depth"), F.when(k > 0, F.get(own, k - 1)).alias("before")))
     rows = oriented.select("way", "s", "size", F.explode(steps).alias("x")).select("way", "s", "size", "x.*")
     prefix, before = F.col("s").substr(F.lit(1), F.col("depth").cast("int")), F.col("before").cast("int")
-    letter = F.ascii(F.col("s").substr(F.col("depth").cast("int") + 1, F.lit(1)))
+    begins = F.col("depth").cast("int") + 1
+    more = F.col("depth") < F.col("size")
     return rows.select(
         _node(F.col("way"), prefix).alias("node"),
         F.when(before.isNotNull(), _node(F.col("way"), F.col("s").substr(F.lit(1), before))).alias("parent"), "depth", "before",
         F.col("s").substr(before + 1, (F.col("depth") - before).cast("int")).alias("label"), "s",
         (F.col("depth") == F.col("size")).alias("ends"),
-        F.when(F.col("depth") < F.col("size"), _bit(letter)).otherwise(F.lit(0).cast("long")).alias("follows"))
+        F.when(more, _bit(F.col("s").substr(begins, F.lit(2)))).otherwise(F.lit(0).cast("long")).alias("pairs"),
+        F.when(more, _bit(F.col("s").substr(begins, F.col("size")))).otherwise(F.lit(0).cast("long")).alias("rests"),
+        F.when(more, _bit(F.col("s").substr(begins, F.col("size")), 6)).otherwise(F.lit(0).cast("long")).alias("rests_2"))
 
 
-def _bit(letter: Column) -> Column:
-    """One of 64 bits for a letter; letters that share a bit are only kept apart later."""
-    table = F.array(*[F.lit(1 << k if k < 63 else -(1 << 63)).cast("long") for k in range(64)])
-    return F.get(table, letter.bitwiseAND(F.lit(63)))
+def _bit(letters: Column, skip: int = 0) -> Column:
+    """One of 64 bits for a string, by its hash behind some digits. The bits of all that may follow a node tell most strings that do not from the others."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(F.xxhash64(letters), skip).bitwiseAND(F.lit(63)).cast("int"))
 
 
 def edges(oriented: DataFrame) -> DataFrame:
     """``node, depth, out``: nodes that several words pass, with the edges that leave them: label, node below, whether several
-    words pass that, the letters that follow it, and the word that ends there (or the only one that passes)."""
+    words pass that, what follows it, and the word that ends there (or the only one that passes)."""
     nodes = materialise(_passed(oriented).groupBy("node").agg(
         F.max("parent").alias("parent"), F.max("before").alias("before"), F.count(F.lit(1)).alias("n"), F.max("label").alias("label"),
-        F.bit_or("follows").alias("follows"), F.min(F.struct((~F.col("ends")).alias("passes"), "s")).alias("x")), "trie_nodes")
+        F.bit_or("pairs").alias("pairs"), F.bit_or("rests").alias("rests"), F.bit_or("rests_2").alias("rests_2"),
+        F.min(F.struct((~F.col("ends")).alias("passes"), "s")).alias("x")), "trie_nodes")
     several = nodes.where("n > 1").select(F.col("node").alias("parent"))
     below = nodes.where("parent is not null").join(several, "parent", "left_semi")
     word = F.when((F.col("n") == 1) | ~F.col("x.passes"), F.col("x.s"))
-    out = F.collect_list(F.struct("label", F.col("node").alias("below"), (F.col("n") > 1).alias("goes_on"), "follows", word.alias("word")))
+    out = F.collect_list(F.struct("label", F.col("node").alias("below"), (F.col("n") > 1).alias("goes_on"), "pairs", "rests", "rests_2", word.alias("word")))
     return materialise(below.groupBy("parent").agg(F.max("before").alias("depth"), out.alias("out")).select(
         F.col("parent").alias("node"), "depth", "out"), "trie_edges")
 
@@ -149,43 +160,77 @@ def edges(oriented: DataFrame) -> DataFrame:
 # ---- frontier --------------------------------------------------------------------------------------------------
 
 
-def _moves() -> Column:
-    """Positions and edits after an edge: along equal letters, and without an edit so far also with one letter replaced, one
-    of the word's left out, or one of the edge's put in."""
-    rest = F.col("s").substr(F.col("at") + 1, F.length("label") + 1)
-    size, label = F.length("label"), F.col("label")
+def _neighbour(word: Column) -> Column:
+    """The word if it is one edit away from ``s``."""
+    close = F.abs(F.length(word) - F.length("s")) <= 1
+    return F.when(F.when(close, F.levenshtein("s", word, 1)) == 1, word)
+
+
+def _may_follow(at: Column) -> Column:
+    """Whether what is behind a position, letter by letter, can come after the edge."""
+    own = lambda mask, letters, skip=0: F.col(mask).bitwiseAND(_bit(F.col("s").substr(at + 1, letters), skip)) != 0
+    return (at < F.length("s")) & own("pairs", F.lit(2)) & own("rests", F.length("s")) & own("rests_2", F.length("s"), 6)
+
+
+def _step(x: Column, at: Column, edits: int) -> Column:
+    return F.struct(x.alias("x"), at.alias("at"), F.lit(edits).alias("edits"))
+
+
+def _after_edit(states: DataFrame) -> DataFrame:
+    """States that made their edit: the one edge of the next letter, if there is one."""
+    letter = F.col("s").substr(F.col("at") + 1, F.lit(1))
+    one = states.where("edits = 1").select("way", "s", "at", F.explode(F.filter("out", lambda o: o["label"] == letter)).alias("o"))
+    one = one.select("way", "s", "at", "o.*").select("way", "s", "at", "below", "goes_on", *_MASKS, _neighbour(F.col("word")).alias("x"))
+    on = F.when(F.col("goes_on") & _may_follow(F.col("at") + 1), F.col("at") + 1)
+    # exploded, so that what is computed is computed once and only then looked at
+    return one.select("way", "s", F.col("below").alias("node"), F.explode(F.array(_step(F.col("x"), on, 1))).alias("r"))
+
+
+def _before_edit(states: DataFrame) -> DataFrame:
+    """States without an edit: along the edge of the next letter, or with an edit along any edge (this letter replaced; left
+    out, if the edge has the letter after it; the edge's letter put in)."""
+    tried = states.where("edits = 0").select("way", "s", "at", F.explode("out").alias("o")).select("way", "s", "at", "o.*")
+    tried = tried.select("way", "s", "at", "label", "below", "goes_on", *_MASKS, _neighbour(F.col("word")).alias("x"))
+    at, label, on = F.col("at"), F.col("label"), F.col("goes_on")
+    next_letter, after_next = (F.col("s").substr(at + k, F.lit(1)) for k in (1, 2))
+    none, same = F.lit(None).cast("string"), F.col("label") == F.col("s").substr(at + 1, F.lit(1))
+    exact = on & same
+    steps = F.array(
+        F.when(F.col("x").isNotNull() | exact, _step(F.col("x"), F.when(exact, at + 1), 0)),
+        F.when(on & ~same & (next_letter != "") & _may_follow(at + 1), _step(none, at + 1, 1)),
+        F.when(on & (label == after_next) & _may_follow(at + 2), _step(none, at + 2, 1)),
+        F.when(on & _may_follow(at), _step(none, at, 1)))
+    return tried.select("way", "s", F.col("below").alias("node"), F.explode(steps).alias("r"))
+
+
+def _by_longer_labels(states: DataFrame) -> DataFrame:
+    """Both, for edges of more than one letter: along equal letters, or letters that one edit makes equal."""
+    rest, size = F.col("s").substr(F.col("at") + 1, F.length("label") + 1), F.length("label")
 
     def move(taken: Column, edits: int) -> Column:
         return F.struct((F.col("at") + taken).alias("at"), F.lit(edits).alias("edits"))
 
     def one_off(taken: Column) -> Column:
         piece = rest.substr(F.lit(1), taken)
-        return (F.length(piece) == taken) & (F.levenshtein(piece, label, 1) == 1)
-
-    fresh = F.col("edits") == 0
-    options = F.array(
-        F.when(rest.startswith(label) & fresh, move(size, 0)), F.when(rest.startswith(label) & ~fresh, move(size, 1)),
-        F.when(fresh & one_off(size), move(size, 1)), F.when(fresh & one_off(size + 1), move(size + 1, 1)),
-        F.when(fresh & one_off(size - 1), move(size - 1, 1)))
-    next_bit = lambda m: _bit(F.ascii(F.col("s").substr(m["at"] + 1, F.lit(1))))
-    may_go_on = lambda m: m.isNotNull() & ((m["edits"] == 0) | (
-        (m["at"] < F.length("s")) & (F.col("follows").bitwiseAND(next_bit(m)) != 0)))
-    return F.when(F.col("goes_on"), F.array_distinct(F.filter(options, may_go_on)))
-
-
-def _level(states: DataFrame, out: DataFrame) -> DataFrame:
-    """States of one depth to those of the next (``x`` NULL) and to neighbours (``x``)."""
-    tried = states.join(out.select("node", "out"), "node").select("way", "s", "at", "edits", F.explode("out").alias("o")).select(
-        "way", "s", "at", "edits", "o.*")
-    close = F.abs(F.length("word") - F.length("s")) <= 1
-    found = F.when(F.when(close, F.levenshtein("s", "word", 1)) == 1, F.col("word"))
-    tried = tried.select("way", "s", "below", found.alias("x"), _moves().alias("moves")).where("x is not null or size(moves) > 0")
-    none = F.lit(None).cast("int")
-    results = F.concat(
-        F.when(F.col("x").isNotNull(), F.array(F.struct("x", none.alias("at"), none.alias("edits")))).otherwise(F.array()),
-        F.transform(F.coalesce("moves", F.array()), lambda m: F.struct(F.lit(None).cast("string").alias("x"), m["at"].alias("at"),
-                                                                       m["edits"].alias("edits"))))
-    return tried.select("way", "s", F.col("below").alias("node"), F.explode(results).alias("r")).select("way", "s", "node", "r.*")
+        return (F.length(piece) == taken) & (F.levenshtein(piece, F.col("label"), 1) == 1)
+
+    fresh, equal = F.col("edits") == 0, rest.startswith(F.col("label"))
+    options = F.array(F.when(equal & fresh, move(size, 0)), F.when(equal & ~fresh, move(size, 1)),
+                      *[F.when(fresh & one_off(size + k), move(size + k, 1)) for k in (0, 1, -1)])
+    tried = states.select("way", "s", "at", "edits", F.explode("out").alias("o")).select("way", "s", "at", "edits", "o.*")
+    tried = tried.select("way", "s", F.col("below").alias("node"), _neighbour(F.col("word")).alias("x"), F.when(
+        F.col("goes_on"), F.array_distinct(F.filter(options, lambda m: m.isNotNull()))).alias("moves"))
+    return tried.select("way", "s", "node", F.explode(F.concat(
+        F.array(F.struct("x", F.lit(None).cast("int").alias("at"), F.lit(None).cast("int").alias("edits"))),
+        F.transform(F.coalesce("moves", F.array()), lambda m: F.struct(F.lit(None).cast("string").alias("x"), m["at"].alias("at"), m["edits"].alias(
+            "edits"))))).alias("r"))
+
+
+def _level(states: DataFrame, out: DataFrame, depth: int) -> DataFrame:
+    """States of one depth to neighbours (``x``) and to states of the next (``at``)."""
+    met = states.join(out.select("node", "out"), "node")
+    after = _by_longer_labels(met) if depth >= SINGLE else _before_edit(met).unionByName(_after_edit(met))
+    return after.where("r.x is not null or r.at is not null").select("way", "s", "node", "r.*")
 
 
 def near_words(words: DataFrame) -> DataFrame:
@@ -201,9 +246,9 @@ def near_words(words: DataFrame) -> DataFrame:
             states = starts.where(F.col("begin") == d).select("way", "s", "node", "at", "edits")
             if carried is not None:
                 states = states.unionByName(carried)
-            after = materialise(_level(states, out.where(F.col("depth") == d)), "frontier")
+            after = materialise(_level(states, out.where(F.col("depth") == d), d), "frontier")
             found.append(after.where("x is not null").select("way", "s", "x"))
-            carried = after.where("x is null").select("way", "s", "node", "at", "edits")
+            carried = after.where("at is not null").select("way", "s", "node", "at", "edits")
         if not found:
             return scope.result(words.select("word", F.col("word").alias("near")).limit(0), "near")
         turned = lambda c: F.when(F.col("way") == 0, F.col(c)).otherwise(F.reverse(c))

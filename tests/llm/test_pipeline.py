@@ -19,7 +19,7 @@ def test_registry():
     import __spark_entry__ as entry
 
     names = set(entry.queries())
-    assert {f"op{n}_" for n in range(1, 11)} <= {re.match(r"op\d+_|", n)[0] for n in names} and "pipeline" in names
+    assert {f"op{n}_" for n in range(1, 14)} <= {re.match(r"op\d+_|", n)[0] for n in names} and "pipeline" in names
     assert set(entry.oracle_sql()) <= names
 
 
