@@ -92,7 +92,7 @@ def loaded_skills(t: Tables):
 
 
 @query(_KEPT + """, e AS (SELECT p_partkey, unnest([p_type, CASE WHEN p_size % 5 > 0 THEN p_brand END]) AS skill FROM k)
-           SELECT count(*) AS facts, count(*) FILTER (p_size % 7 = 0) AS null_labels, CAST(0 AS BIGINT) AS null_employers,
+           SELECT count(*) AS facts, count(*) FILTER (p_size % 7 = 0 OR label_name = 'None') AS null_labels, CAST(0 AS BIGINT) AS null_employers,
              CAST(0 AS BIGINT) AS null_places, CAST(0 AS BIGINT) AS null_days, (SELECT count(*) FROM e) AS skills,
              (SELECT count(*) FROM e WHERE skill IS NULL) AS null_skills FROM k""")
 def counts_of_a_load(t: Tables):
