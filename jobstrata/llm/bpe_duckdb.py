@@ -7,8 +7,8 @@ contracted in the same step unless the contraction makes a neighbour pair of a l
 long runs take few steps and the result is that of one pair at a time.
 Decoding joins ids with the vocabulary and concatenates the pieces by an ordered aggregation.
 
-Words are looked up in a bounded memory of the worker first, so that only new ones go through the recursion. Texts are
-worked on in pieces of about a million characters, whatever the length of a text.
+Words are looked up in a bounded memory of the worker first, so that only new ones go through the recursion; when it is full,
+the words that were not met since it last was are forgotten. Texts are worked on in pieces of about a million characters, whatever the length of a text.
 
 Defined results: NULL counts as an empty text (no ids); ill-formed surrogates become question marks; repeated rows are
 encoded alike; further columns pass through, except that the result's own names win.
@@ -29,10 +29,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000  # in each of two generations
 _PIECE = 1 << 20
 _GROUP = 4 << 20  # characters encoded together
-_NEW_BYTES = 1 << 20  # of new words in one recursion
+_NEW_BYTES = 1 << 19  # of new words in one recursion
 
 # spaces that may belong to a run of white space, and spaces that begin a word
 _ODD = re.compile(r"(?:\A|\s) | (?:\s|\Z)")
@@ -86,7 +86,11 @@ WITH RECURSIVE s(w, pos, len, id) USING KEY (w, pos) AS (
 )
 SELECT w, id FROM s WHERE id >= 0 ORDER BY w, pos
 """
-_DECODE = "SELECT d, string_agg(v.piece, '' ORDER BY t.pos) AS text FROM ids t JOIN vocabulary v USING (id) GROUP BY d"
+# one thread adds up rows in the order they come in
+_DECODE = """
+SELECT d, string_agg(piece, '') AS text
+FROM (SELECT t.d, v.piece FROM ids t JOIN vocabulary v USING (id) ORDER BY t.pos) GROUP BY d
+"""
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -118,8 +122,9 @@ class Bpe:
         self._register("vocabulary_in", {"id": np.array([self.ranks[t] for t in tokens], np.int32),
                                          "piece": [t.decode("latin-1") for t in tokens]})
         self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM vocabulary_in")
-        self.words: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
+        # ids of words and of stretches between single spaces, which mostly are one word
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _register(self, name: str, columns: dict) -> None:
         self.db.register(name, pa.table(columns))
@@ -140,40 +145,46 @@ class Bpe:
         w, ids = np.asarray(found["w"]), np.asarray(found["id"]).astype("<u4")
         cut = np.searchsorted(w, np.arange(1, len(data)))
         for word, part in zip(words, np.split(ids, cut)):
-            self.words[word] = part.tobytes()
+            self.known[word] = part.tobytes()
+
+    def _unknown(self, some: set[str]) -> set[str]:
+        """Those that are new; what is met again in the older generation moves to the younger one."""
+        new = some.difference(self.known)
+        again = new.intersection(self.older)
+        self.known.update((w, self.older[w]) for w in again)
+        return new - again
 
     def _learn(self, chunks: set[str]) -> None:
-        parts = {c: self.split(c) for c in chunks}
-        new = set(chain.from_iterable(parts.values())).difference(self.words)
-        if len(self.words) + len(new) > CACHE_WORDS:
-            self.words.clear()
-            new = set(chain.from_iterable(parts.values()))
-        whole, size, held = sorted(new, key=lambda w: len(w.encode("utf-8", "replace"))), 0, []
-        for word in whole:  # words of like length together, few long ones at a time
-            if held and len(word.encode("utf-8", "replace")) > SHORT >= len(held[-1].encode("utf-8", "replace")):
+        parts = {c: self.split(c) for c in chunks if not _one_word(c)}
+        new = self._unknown(chunks.difference(parts).union(chain.from_iterable(parts.values())))
+        sized = sorted((len(w.encode("utf-8", "replace")), w) for w in new)
+        size, held = 0, []
+        for n, word in sized:  # words of like length together, few long ones at a time
+            if held and n > SHORT >= last:
                 self._merge(held)
                 size, held = 0, []
             held.append(word)
-            size += len(word)
+            size, last = size + n, n
             if size > _NEW_BYTES:
                 self._merge(held)
                 size, held = 0, []
         if held:
             self._merge(held)
-        known = self.words
+        known = self.known
         for chunk, split in parts.items():
-            self.chunks[chunk] = b"".join([known[p] for p in split])
+            known[chunk] = b"".join([known[p] for p in split])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of every text. Texts are cut before single spaces, where no match can span."""
         cut = [self.split(t) if _ODD.search(t) else _words(t) for t in texts]
-        new = set(chain.from_iterable(cut)).difference(self.chunks)
-        if len(self.chunks) + len(new) > CACHE_WORDS:
-            self.chunks.clear()
-            new = set(chain.from_iterable(cut))
+        met = set(chain.from_iterable(cut))
+        new = self._unknown(met)
+        if len(self.known) + len(new) > CACHE_WORDS:
+            self.known, self.older = {}, self.known
+            new = self._unknown(met)
         if new:
             self._learn(new)
-        known = self.chunks
+        known = self.known
         return [b"".join(map(known.__getitem__, c)) for c in cut]
 
     def decode(self, ids: list[bytes]) -> list[bytes]:
@@ -189,6 +200,12 @@ class Bpe:
         return out
 
 
+def _one_word(chunk: str) -> bool:
+    """Whether the pattern surely matches it whole: ASCII letters, perhaps behind a space."""
+    letters = chunk[1:] if chunk[0] == " " else chunk
+    return letters.isascii() and letters.isalpha()
+
+
 def _words(text: str) -> list[str]:
     first, *rest = text.split(" ")
     return ([first] if first else []) + [" " + r for r in rest]
