@@ -14,6 +14,9 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # what a task holds while it sorts or counts grows with its share of a shuffle, to some thirty times as much for rows of
+    # two numbers; merged partitions stay this small, so more input makes more tasks, not larger ones
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
     # whole pages and long vectors pass through Python; bound what one Arrow batch may hold
     "spark.sql.execution.arrow.maxRecordsPerBatch": "4000",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),

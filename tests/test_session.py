@@ -1,8 +1,9 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
-from jobstrata.session import materialise, scratch
+from jobstrata.session import materialise, prepare, scratch
 
 
 def _path(df):
@@ -27,3 +28,12 @@ def test_scope_ends_with_an_error(spark):
         raise RuntimeError
     assert not os.path.exists(seen[0])
     assert os.path.exists(_path(materialise(spark.range(2), "outside")))
+
+
+def test_merged_partitions_stay_small(spark):
+    """40 MB of a shuffle make several tasks, however few cores there are, so that a task holds little while it sorts."""
+    other = prepare(spark.newSession())
+    other.conf.set("spark.sql.shuffle.partitions", "64")
+    other.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    rows = other.range(2_500_000).select(F.xxhash64("id").alias("a"), F.xxhash64("id", F.lit(1)).alias("b")).distinct()
+    assert 3 <= rows.select(F.spark_partition_id().alias("p")).distinct().count()
