@@ -59,8 +59,8 @@ def json_whole_bodies(t: Tables):
     job = F.struct(F.col("o_orderkey").alias("job_id"), F.col("o_orderpriority").alias("job_title"))
     packed = responses(t.orders, "o_orderkey", job).withColumn("body", F.regexp_replace("body", "[{]", "{\n  "))
     landed = new_path(t.spark, "landed")
-    packed.select("body").write.option("maxRecordsPerFile", 1).text(landed)
-    return payloads.read_responses(t.spark, landed, "careerviet", "bodies").select("job.job_id", "job.job_title", "pos")
+    payloads.write_bodies(packed, landed)
+    return payloads.read_responses(t.spark, f"{landed}/*", "careerviet", "bodies").select("job.job_id", "job.job_title", "pos")
 
 
 @query("""SELECT count(*) AS n_bodies, count(*) FILTER (WHERE page_no % 3 = 0) AS n_broken

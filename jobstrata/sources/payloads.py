@@ -6,8 +6,10 @@ A response is one JSON object, ``{"page_no": 3, "data": [posting, ...]}``, on a
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,6 +38,30 @@ def read_bodies(spark: SparkSession, path: str | Sequence[str], platform: str, l
         "page_no"), "data", broken.alias("broken"))
 
 
+def write_bodies(bodies: DataFrame, folder: str, *, number: str = "page_no", body: str = "body", per_folder: int = 1000) -> int:
+    """Save every body in a file of its own named by its number, which must be unique, ``per_folder`` to a folder below
+    ``folder``; how many. ``folder/*`` is the path to read.
+
+    Tasks write the files where they lie: Spark's writer would give each a checksum file, start two processes for their
+    permissions and leave all moves to the driver. A repeated task writes the same files again.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = folder if "://" in folder or folder.startswith("/") else folder.replace("file:", "file://", 1)
+        place, inner = fs.FileSystem.from_uri(at)
+        made = set()
+        for batch in batches:
+            for n, text in zip(*(c.to_pylist() for c in batch.columns)):
+                below = f"{inner.rstrip('/')}/pages-{'none' if n is None else n // per_folder}"
+                if below not in made:
+                    place.create_dir(below, recursive=True)
+                    made.add(below)
+                with place.open_output_stream(f"{below}/{'none' if n is None else n}.json", compression=None) as file:
+                    file.write(text.encode("utf-8"))
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    return bodies.select(number, body).mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def broken_bodies(bodies: DataFrame) -> DataFrame:
     """Number of unreadable bodies per file."""
     return bodies.filter(F.col("broken").isNotNull()).groupBy("file").agg(F.count(F.lit(1)).alias("n_broken"))

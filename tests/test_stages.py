@@ -341,3 +341,15 @@ def test_deep_pages_take_time_in_proportion_to_their_size():
 
     seconds(500)
     assert seconds(20_000) < 40 * max(seconds(2_000), 0.005)
+
+
+def test_bodies_are_saved_one_to_a_file(spark, tmp_path):
+    """Files lie in folders of their own, without checksum files; what is read back does not depend on the formatting."""
+    bodies = [(n, json.dumps({"data": [{"job_id": f"é{n}", "job_title": "t"}]}, indent=2, ensure_ascii=False)) for n in range(25)]
+    df = spark.createDataFrame([*bodies, (None, '{"data": []}')], "page_no bigint, body string")
+    for _ in range(2):  # a repeated task changes nothing
+        assert payloads.write_bodies(df, str(tmp_path / "landed"), per_folder=10) == 26
+    files = [p for p in (tmp_path / "landed").rglob("*") if p.is_file()]
+    assert len(files) == 26 and {p.parent.name for p in files} == {"pages-0", "pages-1", "pages-2", "pages-none"}
+    rows = payloads.read_responses(spark, f"{tmp_path}/landed/*", "careerviet", "bodies").select("job.job_id").collect()
+    assert sorted(r[0] for r in rows) == sorted(f"é{n}" for n in range(25))
