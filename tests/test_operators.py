@@ -1,9 +1,11 @@
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from jobstrata.checks import REGISTRY
 from jobstrata.operators import dedupe, geo, labelling, metrics, neardup, numbering, unify, upserts
 
 FACTS = "job_id string, job_title string, is_expired boolean, last_seen_id bigint"
@@ -345,3 +347,19 @@ def test_repeated_dimension_value_raises(spark):
     rows = spark.createDataFrame([("a",)], "v string")
     with pytest.raises(Exception, match="more than once"):  # found by the aggregate that feeds the join
         lookups.attach_key(rows, dim, value="v", dim_value="name", surrogate="id").collect()
+
+
+def test_grams_are_counted_per_text(spark):
+    texts = ["abcabcab", "", None, "ab", "é😀é😀é😀", "aaaa  aaaa"]
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(texts)], "k int, v string").coalesce(1)
+    got = {r[0]: None if r[1] is None else sorted(map(tuple, r[1])) for r in df.select("k", neardup.gram_counts(neardup.char_grams(F.col("v")))).collect()}
+    want = {k: None if v is None else sorted(Counter(v[i:i + 3] for i in range(len(v) - 2)).items()) for k, v in enumerate(texts)}
+    assert got == want
+
+
+def test_gram_totals_of_texts_in_several_rows(spark, tmp_path):
+    """Rows of one id are one text; those without id are one as well."""
+    rows = [(1, "abcd"), (2, "abcabc"), (2, "bcd"), (None, "abc"), (None, "abc"), (3, None)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.gram: (r.n_uses, r.n_texts) for r in REGISTRY["character_grams"][0](spark, str(tmp_path)).collect()}
+    assert got == {"abc": (5, 3), "bcd": (2, 2), "bca": (1, 1), "cab": (1, 1)}
