@@ -349,6 +349,25 @@ def test_repeated_dimension_value_raises(spark):
         lookups.attach_key(rows, dim, value="v", dim_value="name", surrogate="id").collect()
 
 
+def _common(size):
+    """Texts of few words, so that nearly every two of them share most of their grams."""
+    rng = random.Random(7)
+    return [(k, " ".join(rng.choice(["data", "date", "team", "tame", "meat"]) for _ in range(rng.randint(2, 9)))) for k in range(size)]
+
+
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+def test_common_grams_are_multiplied_not_joined(spark, monkeypatch, kind):
+    rows = _common(120)
+    df = spark.createDataFrame([(k if kind == "bigint" else f"{k:05d}", v) for k, v in rows], f"seq {kind}, v string")
+    kept = {r.seq for r in neardup.drop_near_duplicates(df, row="seq", text="v", threshold=0.9).collect()}
+    monkeypatch.setattr(neardup, "JOINED", 0)  # always joined
+    assert kept == {r.seq for r in neardup.drop_near_duplicates(df, row="seq", text="v", threshold=0.9).collect()}
+    monkeypatch.setattr(neardup, "JOINED", 200)
+    monkeypatch.setattr(neardup, "BLOCK_CELLS", 300)  # blocks of few rows
+    monkeypatch.setattr(neardup, "_prefix_pairs", None)
+    assert kept == {r.seq for r in neardup.drop_near_duplicates(df, row="seq", text="v", threshold=0.9).collect()}
+
+
 def test_grams_are_counted_per_text(spark):
     texts = ["abcabcab", "", None, "ab", "é😀é😀é😀", "aaaa  aaaa"]
     df = spark.createDataFrame([(k, v) for k, v in enumerate(texts)], "k int, v string").coalesce(1)
