@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 
 CACHE_WORDS = 200_000  # in each of two generations
 _PIECE = 1 << 20
-_GROUP = 4 << 20  # characters encoded together
-_NEW_BYTES = 1 << 19  # of new words in one recursion
+_GROUP = 2 << 20  # characters encoded together
+_NEW_BYTES = 1 << 18  # of new words in one recursion
 
 # spaces that may belong to a run of white space, and spaces that begin a word
 _ODD = re.compile(r"(?:\A|\s) | (?:\s|\Z)")
