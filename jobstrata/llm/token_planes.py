@@ -53,6 +53,11 @@ def _stays_letter(char: str) -> bool:
     return char.isalnum() and len(char.lower()) == 1 and unicodedata.normalize("NFC", char) == char
 
 
+def _one_piece(word: str) -> bool:
+    """Whether a word is letters only, before and after the clean-up; the splitter keeps those together."""
+    return word.isalpha() and (word.isascii() or word.lower().isalpha() and unicodedata.is_normalized("NFC", word))
+
+
 class Encoder:
     """Ids of whole texts as the tokenizers library gives them, remembering what single words give.
 
@@ -65,11 +70,25 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        suffix = getattr(self.library.model, "end_of_word_suffix", None)
+        vocabulary = self.library.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values(), default=0) + 1, bool)  # ids that end a piece
+        self.closes[[k for token, k in vocabulary.items() if suffix and token.endswith(suffix)]] = True
 
     def _library(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)  # no offsets are needed
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def _joined(self, words: list[str]) -> list[bytes]:
+        """The same for words of one piece each, in one call. No word has less than a piece, so as many ends as words tell
+        that every end is that of a word; otherwise the words are asked for one by one."""
+        ids = np.array(self.library.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        ends = (np.flatnonzero(self.closes[ids]) + 1) * 4
+        if len(ends) != len(words) or ends[-1] != 4 * len(ids):
+            return self._library(words)
+        data, ends = ids.tobytes(), ends.tolist()
+        return [data[begin:end] for begin, end in zip([0, *ends], ends)]
+
     def _learn(self, words: set[str]) -> None:
         parts = {}
         for word in words:
@@ -81,10 +100,12 @@ class Encoder:
                 parts[word] = (key, word[len(stem):])
         ask = {w for w in words if w not in parts}
         ask.update(p for pair in parts.values() for p in pair)
-        ask = list(ask.difference(self.known))
-        for begin in range(0, len(ask), 5000):
-            some = ask[begin:begin + 5000]
-            self.known.update(zip(some, self._library(some)))
+        ask = ask.difference(self.known)
+        single = [w for w in ask if _one_piece(w)]
+        for some, ids_of in ((single, self._joined), (list(ask.difference(single)), self._library)):
+            for begin in range(0, len(some), 5000):
+                part = some[begin:begin + 5000]
+                self.known.update(zip(part, ids_of(part)))
         for word, (stem, tail) in parts.items():
             self.known[word] = self.known[stem] + self.known[tail]
 
@@ -96,12 +117,13 @@ class Encoder:
         for piece in pieces(text):
             words = piece.split()
             known = self.known
-            if new := set(words).difference(known):
+            found = list(map(known.get, words))
+            if new := {w for w, ids in zip(words, found) if ids is None}:
                 if len(known) > CACHE_WORDS:
                     known.clear()
-                    new = set(words)
                 self._learn(new)
-            yield b"".join(map(known.__getitem__, words))
+                found = [known[w] if ids is None else ids for w, ids in zip(words, found)]
+            yield b"".join(found)
 
 
 def pieces(text: str, size: int = _PIECE) -> Iterator[str]:

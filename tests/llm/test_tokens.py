@@ -48,6 +48,17 @@ def test_words_give_the_ids_of_whole_texts(library):
         assert np.frombuffer(b"".join(mine.encode(text)), "<u4").tolist() == want.ids
 
 
+def test_new_words_of_letters_are_asked_for_together(library):
+    mine, asked = token_planes.Encoder(WORD_BPE), []
+    alone = mine._library
+    mine._library = lambda texts: asked.extend(texts) or alone(texts)
+    text = "Harbour qzxv èrereau Σίσυφος 日本語 наречие qzxv harbour, ab12 \u0958\u0930 İstanbul"
+    assert np.frombuffer(b"".join(mine.encode(text)), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert sorted(asked) == sorted(["", ",", "ab12", "\u0958\u0930", "İstanbul"])
+    asked.clear()
+    assert mine._joined(["ab", "c1d"]) == alone(["ab", "c1d"]) and asked == ["ab", "c1d"]  # more pieces than words
+
+
 def test_long_texts_are_cut_where_it_does_not_matter(library, monkeypatch):
     monkeypatch.setattr(token_planes, "_PIECE", 50)
     text = prose(400, 2) + " " + "y" * 300 + " end"
