@@ -18,6 +18,7 @@ from math import log2
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from jobstrata.llm.shares import may_hold
 from jobstrata.llm.text import NOT_SPACE, words
 from jobstrata.session import materialise
 
@@ -232,8 +233,8 @@ def judge(counted: DataFrame, rules: list[Rule]) -> DataFrame:
 
 def filter_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The documents that pass the base rule and the list learned from the labelled ones among them."""
-    learned = statistics(docs.select("doc_id", "text").join(
-        labels.select("doc_id").distinct(), "doc_id", "left_semi")).drop("text")
+    # no text is shuffled: labels meet the counts, and the few texts without a label that are counted as well drop out there
+    learned = statistics(may_hold(docs.select("doc_id", "text"), labels, "doc_id")).drop("text")
     rules = learn(materialise(learned, "labelled_statistics"), labels, **options)
     own = docs.columns
     counted = statistics(docs.toDF(*[f"own_{k}" for k in range(len(own))]), f"own_{own.index('text')}")

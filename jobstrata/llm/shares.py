@@ -1,4 +1,4 @@
-"""Joins whose work per key is bounded although a few keys hold a large part of the rows."""
+"""Joins whose work per key is bounded although a few keys hold a large part of the rows, and joins that leave rows in place."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PARTS = 1000
+BITS = 1 << 26  # 8 MB, whatever the size of the input
 
 
 def attach(rows: DataFrame, value: Column, per_key: DataFrame, key: str, n: str, take: Sequence[str]) -> DataFrame:
@@ -27,3 +28,23 @@ def attach(rows: DataFrame, value: Column, per_key: DataFrame, key: str, n: str,
     hot = packed.join(heavy, same)
     cold = packed.join(heavy.select("key"), same, "left_anti").join(light, same)
     return hot.unionByName(cold).select("row.*", "taken.*")
+
+
+def may_hold(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Rows whose ``key`` occurs among that of ``ids``, and a few others; rows without a key are left out.
+
+    For rows too wide to be shuffled when an exact join of something narrower follows. The ids set bits of a bitmap of fixed
+    size, which is broadcast, and rows stay where they are. The more ids there are, the more other rows come along; none is
+    ever missed. Ids of another type than the key are not comparable by hash: then all rows with a key come along.
+    """
+    named = rows.where(F.col(key).isNotNull())
+    if rows.schema[key].dataType != ids.schema[key].dataType:
+        return named
+    place = F.pmod(F.xxhash64(key), F.lit(BITS))
+    part, at = F.bitmap_bucket_number(place), F.bitmap_bit_position(place)
+    bitmap = ids.where(F.col(key).isNotNull()).select(part.alias("_part"), at.alias("_at")).groupBy("_part").agg(
+        F.bitmap_construct_agg("_at").alias("_bits"))  # a row of 4 KB per 32,768 bits
+    byte = F.conv(F.hex(F.substring("_bits", F.expr("cast(_at div 8 as int) + 1"), F.lit(1))), 16, 10).cast("int")
+    marked = named.select(*[F.col(f"`{c}`") for c in rows.columns], part.alias("_part"), at.alias("_at"))
+    return (marked.join(F.broadcast(bitmap), "_part").where(F.getbit(byte, F.expr("cast(_at % 8 as int)")) == 1)
+            .select(*[F.col(f"`{c}`") for c in rows.columns]))

@@ -5,7 +5,7 @@ import numpy as np
 from helpers import awkward_documents, empty_documents, prose
 from pyspark.sql import functions as F
 
-from jobstrata.llm import quality_ftrl, quality_rules
+from jobstrata.llm import quality_ftrl, quality_rules, shares
 
 
 def _brute(text):
@@ -68,6 +68,32 @@ def test_rules_without_labels_or_documents(spark):
     assert Counter(r.doc_id for r in kept.collect())[1] == 2
 
 
+def test_labels_meet_documents_without_a_shuffle_of_texts(spark, monkeypatch):
+    docs, labels = _labelled(spark)
+    seen, count = [], quality_rules.statistics
+    monkeypatch.setattr(quality_rules, "statistics", lambda df, *a: seen.append(df) or count(df, *a))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for more labels than Spark would broadcast
+    try:
+        kept = sorted(r.doc_id for r in quality_rules.filter_documents(docs, labels).collect())
+        plans = [df._jdf.queryExecution().executedPlan().toString() for df in seen]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert kept == [k for k in range(300) if k % 4]
+    assert len(plans) == 2 and not any(re.search("SortMergeJoin|ShuffledHashJoin", p) for p in plans)
+
+
+def test_rows_that_may_hold_an_id(spark, monkeypatch):
+    rows = spark.createDataFrame([(k if k % 10 else None, f"t{k}") for k in range(-500, 500)] * 2, "id long, text string")
+    ids = spark.createDataFrame([(k,) for k in range(-500, 2000, 3)] * 2 + [(None,)], "id long")
+    want = sorted(tuple(r) for r in rows.join(ids, "id", "left_semi").collect())
+    assert sorted(tuple(r) for r in shares.may_hold(rows, ids, "id").collect()) == want
+    assert shares.may_hold(rows, ids.where("false"), "id").count() == 0
+    assert shares.may_hold(rows, ids.select(F.col("id").cast("int")), "id").count() == rows.where("id is not null").count()
+    monkeypatch.setattr(shares, "BITS", 64)  # a full bitmap: nothing is missed
+    assert shares.may_hold(rows, ids, "id").count() == rows.where("id is not null").count()
+
+
 def test_rules_run_without_python(spark):
     docs, _ = _labelled(spark, 20)
     plan = quality_rules.statistics(docs)._jdf.queryExecution().executedPlan().toString()
