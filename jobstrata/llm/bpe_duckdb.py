@@ -19,6 +19,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import string
 from collections.abc import Iterator
 from itertools import chain
 
@@ -35,7 +36,7 @@ _GROUP = 2 << 20  # characters encoded together
 _NEW_BYTES = 1 << 18  # of new words in one recursion
 
 # spaces that may belong to a run of white space, and spaces that begin a word
-_ODD = re.compile(r"(?:\A|\s) | (?:\s|\Z)")
+_ODD = re.compile(r" (?:(?<!\S )|(?!\S))")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 # Words of up to SHORT bytes: each step contracts one pair in every word that still has one, the leftmost of the lowest rank.
@@ -122,17 +123,14 @@ class Bpe:
         self._register("vocabulary_in", {"id": np.array([self.ranks[t] for t in tokens], np.int32),
                                          "piece": [t.decode("latin-1") for t in tokens]})
         self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM vocabulary_in")
-        # ids of words and of stretches between single spaces, which mostly are one word
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
     def _register(self, name: str, columns: dict) -> None:
         self.db.register(name, pa.table(columns))
 
-    def _merge(self, words: list[str]) -> None:
-        """Run the recursion for new words and remember their ids."""
-        data = [w.encode("utf-8", "replace") for w in words]
-        sizes = np.array([len(d) for d in data], np.int64)
+    def _merge(self, words: list[str], data: list[bytes], sizes: np.ndarray) -> None:
+        """Run the recursion for new words, given with their bytes, and remember their ids."""
         raw = np.frombuffer(b"".join(data), np.uint8)
         first = np.cumsum(sizes) - sizes
         ids = self.byte_ids[raw]
@@ -142,10 +140,9 @@ class Bpe:
                                  "pos": (np.arange(len(raw)) - np.repeat(first, sizes)).astype(np.int32),
                                  "id": ids, "next_id": after})
         found = self.db.execute(_SHORT if sizes.max() <= SHORT else _MERGE).fetchnumpy()
-        w, ids = np.asarray(found["w"]), np.asarray(found["id"]).astype("<u4")
-        cut = np.searchsorted(w, np.arange(1, len(data)))
-        for word, part in zip(words, np.split(ids, cut)):
-            self.known[word] = part.tobytes()
+        coded = np.asarray(found["id"]).astype("<u4").tobytes()
+        cut = (4 * np.searchsorted(np.asarray(found["w"]), np.arange(len(data) + 1))).tolist()
+        self.known.update((w, coded[a:b]) for w, a, b in zip(words, cut, cut[1:]))
 
     def _unknown(self, some: set[str]) -> set[str]:
         """Those that are new; what is met again in the older generation moves to the younger one."""
@@ -154,38 +151,42 @@ class Bpe:
         self.known.update((w, self.older[w]) for w in again)
         return new - again
 
-    def _learn(self, chunks: set[str]) -> None:
-        parts = {c: self.split(c) for c in chunks if not _one_word(c)}
-        new = self._unknown(chunks.difference(parts).union(chain.from_iterable(parts.values())))
-        sized = sorted((len(w.encode("utf-8", "replace")), w) for w in new)
-        size, held = 0, []
-        for n, word in sized:  # words of like length together, few long ones at a time
-            if held and n > SHORT >= last:
-                self._merge(held)
-                size, held = 0, []
-            held.append(word)
-            size, last = size + n, n
-            if size > _NEW_BYTES:
-                self._merge(held)
-                size, held = 0, []
-        if held:
-            self._merge(held)
-        known = self.known
-        for chunk, split in parts.items():
-            known[chunk] = b"".join([known[p] for p in split])
+    def _learn(self, words: set[str]) -> None:
+        new = list(words)
+        data = [w.encode("utf-8", "replace") for w in new]
+        sizes = np.fromiter(map(len, data), np.int64, len(data))
+        order = np.argsort(sizes, kind="stable")  # words of like length together, few long ones at a time
+        ends = np.cumsum(sizes[order])
+        first, short = 0, int(np.searchsorted(sizes[order], SHORT, "right"))
+        while first < len(order):
+            before = ends[first - 1] if first else 0
+            last = int(np.searchsorted(ends, before + _NEW_BYTES, "right")) + 1
+            last = min(last, short if first < short else len(order))
+            some = order[first:last]
+            self._merge([new[k] for k in some], [data[k] for k in some], sizes[some])
+            first = last
+
+    def _find(self, met: set[str]) -> tuple[dict[str, list[str]], set[str]]:
+        """The stretches that are several words, with these words, and all words that are new."""
+        new = self._unknown(met)
+        parts = {c: _word_and_marks(c) or self.split(c) for c in new if not _one_word(c)}
+        return parts, self._unknown(new.difference(parts).union(chain.from_iterable(parts.values())))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of every text. Texts are cut before single spaces, where no match can span."""
         cut = [self.split(t) if _ODD.search(t) else _words(t) for t in texts]
         met = set(chain.from_iterable(cut))
-        new = self._unknown(met)
+        parts, new = self._find(met)
         if len(self.known) + len(new) > CACHE_WORDS:
             self.known, self.older = {}, self.known
-            new = self._unknown(met)
+            parts, new = self._find(met)
         if new:
             self._learn(new)
         known = self.known
-        return [b"".join(map(known.__getitem__, c)) for c in cut]
+        words = met.difference(parts)
+        ids = dict(zip(words, map(known.__getitem__, words)))
+        ids.update((c, b"".join([known[p] for p in split])) for c, split in parts.items())
+        return [b"".join(map(ids.__getitem__, c)) for c in cut]
 
     def decode(self, ids: list[bytes]) -> list[bytes]:
         """Bytes of every sequence of ids."""
@@ -201,9 +202,15 @@ class Bpe:
 
 
 def _one_word(chunk: str) -> bool:
-    """Whether the pattern surely matches it whole: ASCII letters, perhaps behind a space."""
+    """Whether the pattern surely matches it whole: Latin letters, perhaps behind a space."""
     letters = chunk[1:] if chunk[0] == " " else chunk
-    return letters.isascii() and letters.isalpha()
+    return letters.isalpha() and (letters.isascii() or max(letters) < "\u0250")
+
+
+def _word_and_marks(chunk: str) -> list[str] | None:
+    """Both matches of a chunk that surely is one word and ASCII punctuation behind it."""
+    word = chunk.rstrip(string.punctuation)
+    return [word, chunk[len(word):]] if len(word) < len(chunk) and word and _one_word(word) else None
 
 
 def _words(text: str) -> list[str]:

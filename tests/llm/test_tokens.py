@@ -118,3 +118,44 @@ def test_round_trip_of_documents(spark, reference):
         assert r.ids_sha256 == hashlib.sha256(ids).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256((d.text or "").encode()).hexdigest()
     assert bpe_duckdb.round_trip(empty_documents(spark), RANKS, public_tokenizers.PATTERN).count() == 0
+
+
+def _counting(bpe, monkeypatch):
+    """The words that the encoder asks its recursion for."""
+    asked = []
+    merge = bpe._merge
+    monkeypatch.setattr(bpe, "_merge", lambda words, *more: asked.extend(words) or merge(words, *more))
+    return asked
+
+
+def test_only_words_are_remembered(reference, monkeypatch):
+    bpe = bpe_duckdb.Bpe(RANKS, public_tokenizers.PATTERN)
+    asked = _counting(bpe, monkeypatch)
+    text = "zqharbour, zqharbour! zqharbour... été, (été)\nzqharbour zqa's zq4u \u0250q. 'zq''"
+    for _ in range(2):
+        assert np.frombuffer(bpe.encode([text])[0], "<u4").tolist() == reference.encode_ordinary(text)
+    assert len(asked) == len(set(asked)) and set(bpe.known) == set(asked) == {w for w in bpe.split(text)}
+
+
+def test_forgotten_words_are_found_again(reference, monkeypatch):
+    monkeypatch.setattr(bpe_duckdb, "CACHE_WORDS", 40)
+    monkeypatch.setattr(bpe_duckdb, "_NEW_BYTES", 64)
+    bpe = bpe_duckdb.Bpe(RANKS, public_tokenizers.PATTERN)
+    for seed in range(12):
+        texts = [prose(30, seed) + ", " + "x" * seed * 9 + "; " + prose(8, seed // 2) + ".\n", "über, Straße! " * seed]
+        for text, ids in zip(texts, bpe.encode(texts), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == reference.encode_ordinary(text)
+
+
+def test_stretches_known_to_be_words_agree_with_the_pattern():
+    split = bpe_duckdb.regex.compile(public_tokenizers.PATTERN).findall
+    for c in map(chr, range(1, 0x600)):
+        for chunk in (f" {c}", f"a{c}", f" é{c}", f" {c}b,", f"z{c}'.", f" x{c}\"?!", f"{c}''"):
+            if bpe_duckdb._one_word(chunk):
+                assert split(chunk) == [chunk]
+            elif parts := bpe_duckdb._word_and_marks(chunk):
+                assert split(chunk) == parts
+    for text in ("", "a", " a", "a ", "a  b", "a b", "a\n b", "a \nb", "a\x1c b", "\xa0 b", "a b c"):
+        odd = text[:1] == " " or text[-1:] == " " or any(
+            p == " " and (text[k].isspace() or text[k + 2].isspace()) for k, p in enumerate(text[1:-1]))
+        assert bool(bpe_duckdb._ODD.search(text)) == odd
