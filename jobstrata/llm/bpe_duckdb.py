@@ -20,7 +20,7 @@ import base64
 import hashlib
 import re
 import string
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import duckdb
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 CACHE_WORDS = 200_000  # in each of two generations
 _PIECE = 1 << 20
-_GROUP = 2 << 20  # characters encoded together
+_GROUP = 1 << 20  # characters encoded together
 _NEW_BYTES = 1 << 18  # of new words in one recursion
 
 # spaces that may belong to a run of white space, and spaces that begin a word
@@ -109,20 +109,22 @@ def merge_rows(ranks: dict[bytes, int]) -> np.ndarray:
 
 class Bpe:
     def __init__(self, path: str, pattern: str):
-        self.ranks = read_ranks(path)
+        ranks = read_ranks(path)
         self.split = regex.compile(pattern).findall
-        table = merge_rows(self.ranks)
-        self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
+        table = merge_rows(ranks)
+        self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         self.db = duckdb.connect(":memory:", config={"threads": "1", "memory_limit": "300MB", "temp_directory": ""})
         self._register("merges_in", {"l": table[:, 0], "r": table[:, 1], "id": table[:, 2]})
         self.db.execute("CREATE TABLE merges AS SELECT *, (l::BIGINT << 32) | r AS pair FROM merges_in")
         # pairs that rank before their right or left half was made
         self.db.execute("CREATE TABLE early_after AS SELECT l, r FROM merges WHERE id < r")
         self.db.execute("CREATE TABLE early_before AS SELECT l, r FROM merges WHERE id < l")
-        tokens = list(self.ranks)
-        self._register("vocabulary_in", {"id": np.array([self.ranks[t] for t in tokens], np.int32),
+        tokens = list(ranks)
+        self._register("vocabulary_in", {"id": np.array([ranks[t] for t in tokens], np.int32),
                                          "piece": [t.decode("latin-1") for t in tokens]})
         self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM vocabulary_in")
+        for name in ("merges_in", "vocabulary_in"):
+            self.db.unregister(name)
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -140,6 +142,7 @@ class Bpe:
                                  "pos": (np.arange(len(raw)) - np.repeat(first, sizes)).astype(np.int32),
                                  "id": ids, "next_id": after})
         found = self.db.execute(_SHORT if sizes.max() <= SHORT else _MERGE).fetchnumpy()
+        self.db.unregister("start")
         coded = np.asarray(found["id"]).astype("<u4").tobytes()
         cut = (4 * np.searchsorted(np.asarray(found["w"]), np.arange(len(data) + 1))).tolist()
         self.known.update((w, coded[a:b]) for w, a, b in zip(words, cut, cut[1:]))
@@ -198,6 +201,7 @@ class Bpe:
         out = [b""] * len(ids)
         for d, text in self.db.execute(_DECODE).fetchall():
             out[d] = text.encode("latin-1")
+        self.db.unregister("ids")
         return out
 
 
@@ -237,7 +241,7 @@ def load(path: str, pattern: str) -> Bpe:
     return _LOADED[path, pattern]
 
 
-def _groups(texts: list[str | None]) -> Iterator[list[tuple[int, str]]]:
+def _groups(texts: Iterable[str | None]) -> Iterator[list[tuple[int, str]]]:
     group, size = [], 0
     for k, text in enumerate(texts):
         for piece in pieces(text or ""):
@@ -258,10 +262,10 @@ def round_trip(docs: DataFrame, ranks: str, pattern: str, text: str = "text", ke
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(ranks, pattern)
         for batch in batches:
-            texts = batch["_text"].to_pylist()
-            count, kept = [0] * len(texts), [[] for _ in texts]
-            sha, back = ([hashlib.sha256() for _ in texts] for _ in range(2))
-            for group in _groups(texts):
+            rows = range(batch.num_rows)
+            count, kept = [0] * len(rows), [[] for _ in rows]
+            sha, back = ([hashlib.sha256() for _ in rows] for _ in range(2))
+            for group in _groups(text.as_py() for text in batch["_text"]):  # never a whole batch as strings
                 coded = bpe.encode([piece for _, piece in group])
                 for (k, _), ids, data in zip(group, coded, bpe.decode(coded)):
                     count[k] += len(ids) // 4
@@ -274,6 +278,9 @@ def round_trip(docs: DataFrame, ranks: str, pattern: str, text: str = "text", ke
             if keep_ids:
                 columns.append(pa.array([b"".join(k) for k in kept], pa.binary()))
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], *columns], [*rest, *new])
+            # the worker lives on and would keep the memory of its largest batch of any stage
+            del batch, kept, columns
+            pa.default_memory_pool().release_unused()
 
     ordered = docs.select(F.col(text).alias("_text"), *[F.col(f"`{c}`") for c in rest])
     schema = ordered.drop("_text").schema.add("n_tokens", "long").add("ids_sha256", "string").add(

@@ -159,3 +159,38 @@ def test_stretches_known_to_be_words_agree_with_the_pattern():
         odd = text[:1] == " " or text[-1:] == " " or any(
             p == " " and (text[k].isspace() or text[k + 2].isspace()) for k, p in enumerate(text[1:-1]))
         assert bool(bpe_duckdb._ODD.search(text)) == odd
+
+
+def test_a_batch_is_not_held_as_strings_and_its_memory_is_given_back(spark, monkeypatch):
+    """A batch is turned into strings group by group, and Arrow's memory is released after every batch."""
+    import pyarrow as pa
+
+    held = []
+    groups = bpe_duckdb._groups
+
+    def watched(texts):
+        held.append(isinstance(texts, list))
+        return groups(texts)
+
+    class Frame:  # runs the function of mapInArrow here
+        def __init__(self, df):
+            self.df, self.columns, self.schema = df, df.columns, df.schema
+
+        def mapInArrow(self, run, schema):  # noqa: N802
+            released = []
+            pool = type("Pool", (), {"release_unused": lambda self: released.append(1)})()
+            monkeypatch.setattr(pa, "default_memory_pool", lambda: pool)
+            batch = pa.RecordBatch.from_pydict({"_text": ["one two", None, "three"] * 5, "doc_id": list(range(15))})
+            out = list(run(iter([batch, batch])))
+            return len(out), sum(b.num_rows for b in out), len(released)
+
+        def select(self, *columns):
+            return Frame(self.df.select(*columns))
+
+        def drop(self, *columns):
+            return self.df.drop(*columns)
+
+    monkeypatch.setattr(bpe_duckdb, "_groups", watched)
+    docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    assert bpe_duckdb.round_trip(Frame(docs), RANKS, public_tokenizers.PATTERN) == (2, 30, 2)
+    assert held == [False, False]
