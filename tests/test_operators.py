@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -382,3 +383,61 @@ def test_gram_totals_of_texts_in_several_rows(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
     got = {r.gram: (r.n_uses, r.n_texts) for r in REGISTRY["character_grams"][0](spark, str(tmp_path)).collect()}
     assert got == {"abc": (5, 3), "bcd": (2, 2), "bca": (1, 1), "cab": (1, 1)}
+
+
+def _words(size, seed=3):
+    """Texts of many words drawn from a small stock, some of them copies with a word changed."""
+    rng = random.Random(seed)
+    stock = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 8))) for _ in range(400)]
+    out = []
+    for _ in range(size):
+        words = rng.choice(out).split() if out and rng.random() < 0.4 else [rng.choice(stock) for _ in range(rng.randint(3, 200))]
+        words[rng.randrange(len(words))] = rng.choice(stock)
+        out.append(" ".join(words))
+    return out
+
+
+def test_near_duplicates_store_little_beside_the_texts(spark, monkeypatch):
+    from pathlib import Path
+
+    texts, sizes, real = _words(400), [], neardup.materialise
+
+    def stored(df, name="stage"):
+        out = real(df, name)
+        sizes.append(sum(Path(f.removeprefix("file://")).stat().st_size for f in out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(neardup, "materialise", stored)
+    assert kept(spark, texts) == brute_force(texts)[0]
+    assert sum(sizes) < 12 * sum(len(t) for t in texts)  # 36 times when weights and joined prefixes were stored
+
+
+@pytest.mark.parametrize("joined", [0, 10 ** 9])  # always joined, always multiplied
+def test_near_duplicates_after_few_witnesses(spark, monkeypatch, joined):
+    for name, value in (("FIRST", 3), ("HUBS", 3), ("PORTION", 1), ("BLOCK", 30), ("JOINED", joined)):
+        monkeypatch.setattr(neardup, name, value)
+    texts = _words(150) + ["ab", "ab", "", "x"]
+    assert kept(spark, texts) == brute_force(texts)[0]
+
+
+def test_products_of_sketches_are_no_less_than_those_of_vectors():
+    rng = np.random.default_rng(5)
+    n_terms = 5000
+    weights = type("Held", (), {"value": (np.arange(0, n_terms, 50), np.arange(1, 101), np.linspace(9, 1, 100))})
+
+    def block(n):
+        terms = [np.unique(rng.choice(n_terms, size=rng.integers(1, 300), p=np.arange(1, n_terms + 1) / (n_terms * (n_terms + 1) / 2))) for _ in range(n)]
+        tf = [rng.integers(1, 9, len(t)) for t in terms]
+        raw = [neardup._weighed(t, f, weights)[1] for t, f in zip(terms, tf)]
+        columns = [range(n), [len(t) for t in terms], [float(np.sqrt((r * r).sum())) for r in raw], np.concatenate(terms), np.concatenate(tf)]
+        dense = np.zeros((n, n_terms))
+        for k, (t, r) in enumerate(zip(terms, raw)):
+            dense[k, t] = r / np.sqrt((r * r).sum())
+        return neardup._Block([pa.array(c) for c in columns], weights, n_terms), dense
+
+    (a, u), (b, v) = block(70), block(90)
+    assert (a.sketch @ b.sketch.T >= u @ v.T - neardup.ROUNDED).all()
+    a.look_up()
+    for j in range(90):
+        found = a.similar(np.arange(70), b, j, 0.2)
+        assert (found is None) == ((u @ v[j]).max() <= 0.2) and (found is None or u[found] @ v[j] > 0.2)
