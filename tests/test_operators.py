@@ -414,7 +414,7 @@ def test_near_duplicates_store_little_beside_the_texts(spark, monkeypatch):
 
 @pytest.mark.parametrize("joined", [0, 10 ** 9])  # always joined, always multiplied
 def test_near_duplicates_after_few_witnesses(spark, monkeypatch, joined):
-    for name, value in (("FIRST", 3), ("HUBS", 3), ("PORTION", 1), ("BLOCK", 30), ("JOINED", joined)):
+    for name, value in (("FIRST", 3), ("HUBS", 3), ("PORTION", 1), ("BLOCK_TERMS", 3000), ("JOINED", joined)):
         monkeypatch.setattr(neardup, name, value)
     texts = _words(150) + ["ab", "ab", "", "x"]
     assert kept(spark, texts) == brute_force(texts)[0]
